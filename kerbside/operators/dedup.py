@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -11,10 +10,12 @@ def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
     NULL is an ordinary key value. The total order makes the pick repeatable. Spark limits each
     key to one row *before* the shuffle (``WindowGroupLimit``), so a key holding a large share
-    of the rows sends one row per map task, never its whole group.
+    of the rows sends one row per map task, never its whole group. Name the most selective key
+    first: it decides most comparisons of the sort.
     """
     taken = {k.lower() for k in keys}
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c.lower() not in taken]
-    order = rest or [F.col(k) for k in keys]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    rest = [c for c in df.columns if c.lower() not in taken]
+    partition = ", ".join(f"`{k}`" for k in keys)
+    order = ", ".join(f"`{c}` ASC NULLS FIRST" for c in rest) or partition
+    rank = f"row_number() OVER (PARTITION BY {partition} ORDER BY {order}) AS __rank"
+    return df.selectExpr("*", rank).filter("__rank = 1").drop("__rank")

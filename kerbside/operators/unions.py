@@ -16,10 +16,8 @@ def common_columns(first: DataFrame, second: DataFrame) -> list[str]:
 
 def union_tagged(feeds: dict[str, DataFrame], tag: str) -> DataFrame:
     """Union on the columns all feeds share, with the feed's name in column ``tag``."""
-    frames = list(feeds.values())
-    columns = frames[0].columns
-    for other in frames[1:]:
-        columns = [c for c in columns if c in set(other.columns)]
+    first, *others = feeds.values()
+    columns = reduce(lambda kept, df: common_columns(first.select(*kept), df), others, first.columns)
     tagged = [df.select(*columns, F.lit(name).alias(tag)) for name, df in feeds.items()]
     return reduce(DataFrame.unionByName, tagged)
 

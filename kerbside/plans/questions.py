@@ -11,7 +11,7 @@ from kerbside.functions import (
     between_days, duration, duration_seconds, encode_base, is_one_of, on_day, route_label,
     same_text, to_day,
 )
-from kerbside.operators.aggregates import count_by, distinct_count, exact, row_count
+from kerbside.operators.aggregates import count_by, distinct_count, exact_sum, row_count
 from kerbside.operators.lookups import Lookup, join_role
 from kerbside.operators.topn import top_rows
 
@@ -109,7 +109,7 @@ def priciest_routes(
 ) -> DataFrame:
     """Routes with the largest average total amount."""
     pairs = trips.groupBy("PULocationID", "DOLocationID").agg(
-        F.sum(exact(trips, "total_amount")).alias("amount"),
+        exact_sum(trips, "total_amount").alias("amount"),
         F.count("total_amount").alias("priced"),
     )
     lookup = Lookup.measure(zones)
@@ -121,7 +121,9 @@ def priciest_routes(
             )
         )
         .agg(
-            F.try_divide(F.sum("amount").cast("double"), F.sum("priced")).alias("average_amount")
+            F.try_divide(
+                exact_sum(pairs, "amount").cast("double"), F.sum("priced")
+            ).alias("average_amount")
         )
     )
     return top_rows(ranked, "average_amount", n)

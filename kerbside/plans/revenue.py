@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.fixed_values import REVENUE_AVERAGES, REVENUE_SUMS
 from kerbside.functions import month_start
-from kerbside.operators.aggregates import exact, exact_avg
+from kerbside.operators.aggregates import exact_avg, exact_sum
 from kerbside.operators.unions import union_tagged
 
 # The two time columns under the name each feed gives them.
@@ -43,6 +43,6 @@ def monthly_zone_revenue(trips: DataFrame) -> DataFrame:
         month_start(F.col("pickup_datetime")).alias("revenue_month"),
         "service_type",
     ).agg(
-        *[F.sum(exact(trips, column)).alias(name) for name, column in REVENUE_SUMS.items()],
+        *[exact_sum(trips, column).alias(name) for name, column in REVENUE_SUMS.items()],
         *[exact_avg(trips, column).alias(name) for name, column in REVENUE_AVERAGES.items()],
     )

@@ -30,7 +30,7 @@ def _stage_metered(
     pickup, dropoff = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
     # Rows without a vendor are dropped before ranking; a missing pickup time is a key like any.
     keyed = feed.filter(F.col("vendorid").isNotNull())
-    unique = first_per_key(keyed, ["vendorid", pickup])
+    unique = first_per_key(keyed, [pickup, "vendorid"])
 
     def integer(name: str) -> Column:
         return _int(feed, name, strict)
@@ -70,7 +70,7 @@ def _stage_metered(
 
 def stage_fhv(feed: DataFrame, strict: bool = True, is_test_run: bool = False) -> DataFrame:
     keyed = feed.filter(F.col("dispatching_base_num").isNotNull())
-    unique = first_per_key(keyed, ["dispatching_base_num", "pickup_datetime"])
+    unique = first_per_key(keyed, ["pickup_datetime", "dispatching_base_num"])
     staged = unique.select(
         surrogate_key(
             F.col("dispatching_base_num"), _key_time("pickup_datetime", strict)

@@ -200,7 +200,8 @@ FROM (SELECT *, CAST(substr(dispatching_base_num, 2) AS BIGINT) AS n FROM trips)
 _LAKE = f"""{_BASE}
 SELECT service AS service_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
        CAST(month(pickup_datetime) AS INTEGER) AS month,
-       "VendorID", pickup_datetime, "PULocationID", CAST(total_amount AS DOUBLE) AS total_amount
+       "VendorID", pickup_datetime, dropoff_datetime, "PULocationID",
+       CAST(total_amount AS DOUBLE) AS total_amount
 FROM trips WHERE service IN ('green', 'yellow')
 """
 
@@ -392,7 +393,12 @@ ORACLES: dict[str, str] = {
     "parquet_repartition_roundtrip": _FHVHV_ROWS,
     "partitioned_layout": _LAKE,
     "one_year_scan": f"{_LAKE} AND service = 'green' AND year(pickup_datetime) = 1996",
-    "misplaced_rows": "SELECT CAST(0 AS BIGINT) AS misplaced",
+    "misplaced_rows": f"""{_BASE}
+        SELECT 'pickup' AS time, CAST(0 AS BIGINT) AS misplaced
+        UNION ALL
+        SELECT 'dropoff', count(*) FROM trips
+        WHERE service IN ('green', 'yellow')
+          AND date_trunc('month', pickup_datetime) <> date_trunc('month', dropoff_datetime)""",
     "month_templated_scan": f"""{_FHV_ROWS}, strftime(pickup_datetime, '%Y-%m') AS file_month
         FROM trips WHERE service = 'fhv'""",
     "backfill_twice": _LANDED,

@@ -14,6 +14,7 @@ from kerbside.fixed_values import (
     MONTH_TABLE_TEMPLATE, PAYMENT_LABELS,
 )
 from kerbside.functions import encode_base_pandas, month_name
+from kerbside.operators.aggregates import exact_sum
 from kerbside.operators.inspect import schema_rows
 from kerbside.operators.lookups import Lookup
 from kerbside.operators.quality import (
@@ -45,18 +46,19 @@ MONTH_DIRS = "{root}/{service}/file_month={month}"
 
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates as ISO text, timestamps without zone: one form in any engine."""
-    def plain(field: T.StructField):
-        col = F.col(f"`{field.name}`")
+    def plain(field: T.StructField) -> str:
         match field.dataType:
             case T.DecimalType():
-                col = col.cast("double")
+                form = "double"
             case T.DateType():
-                col = col.cast("string")
+                form = "string"
             case T.TimestampType():
-                col = col.cast("timestamp_ntz")
-        return col.alias(field.name)
+                form = "timestamp_ntz"
+            case _:
+                return f"`{field.name}`"
+        return f"CAST(`{field.name}` AS {form}) AS `{field.name}`"
 
-    return df.select(*[plain(f) for f in df.schema])
+    return df.selectExpr(*[plain(f) for f in df.schema])
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -367,14 +369,9 @@ def parquet_single_file(spark, d):
 
 def _laid_out(spark, d) -> str:
     path = scratch_path(spark, "lake")
-    services = {
-        "green": ("lpep_pickup_datetime", "VendorID"),
-        "yellow": ("tpep_pickup_datetime", "VendorID"),
-    }
-    for service, (ts, vendor) in services.items():
-        rides = feed(spark, d, service, [vendor, ts, "PULocationID", "total_amount"])
-        rides = rides.withColumnRenamed(ts, "pickup_datetime")
-        tagged = rides.withColumn("service_type", F.lit(service))
+    for service, times in FEED_TIMES.items():
+        rides = feed(spark, d, service, ["VendorID", *times, "PULocationID", "total_amount"])
+        tagged = rides.withColumnsRenamed(times).withColumn("service_type", F.lit(service))
         files.write_by_month(
             files.with_year_month(tagged, "pickup_datetime"),
             path,
@@ -396,8 +393,14 @@ def one_year_scan(spark, d):
 
 @query("misplaced_rows")
 def misplaced_rows(spark, d):
+    """Rows outside their own year and month: none by pickup, which the layout follows."""
     lake = read_tree(spark, _laid_out(spark, d))
-    return questions.row_count(files.misplaced_rows(lake, "pickup_datetime"), "misplaced")
+    counts = [
+        questions.row_count(files.misplaced_rows(lake, f"{time}_datetime"), "misplaced")
+        .withColumn("time", F.lit(time))
+        for time in ("pickup", "dropoff")
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 def _monthly_files(spark, d) -> tuple[str, list[str]]:
@@ -464,7 +467,7 @@ def write_if_absent(spark, d):
     """The second write finds the path taken and leaves it alone."""
     path = scratch_path(spark, "absent")
     files.write_if_absent(feed(spark, d, "fhv"), path)
-    files.write_if_absent(feed(spark, d, "fhv").limit(0), path)
+    files.write_if_absent(feed(spark, d, "yellow"), path)
     return spark.read.parquet(path)
 
 
@@ -479,7 +482,7 @@ def month_tables(spark, d):
     stored = spark.read.schema(by_month.schema).parquet(path)
     prefix, _, _ = MONTH_TABLE_TEMPLATE.format(service="yellow", month="|").partition("|")
     return stored.groupBy(F.concat(F.lit(prefix), "file_month").alias("table_name")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total_amount")
+        F.count(F.lit(1)).alias("n"), exact_sum(stored, "total_amount").alias("total_amount")
     )
 
 

@@ -10,9 +10,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
-TARGET_PARTITION_BYTES = 128 * MIB
 TARGET_FILE_BYTES = 256 * MIB
 
+# Partition sizes, and the counts above which partitions grow instead: every map task meets every
+# shuffle partition, so both counts must stay bounded for the largest inputs.
+SCAN_BYTES = 128 * MIB
+MAX_SCAN_TASKS = 200_000
+SHUFFLE_BYTES = 256 * MIB
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 # Zone names, dates and hashes are defined in UTC. Skew handling must also apply where
 # splitting a hot join partition costs one more shuffle.
 RUNTIME_SETTINGS = {
@@ -21,9 +27,14 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort for a shuffled join whose partitions all turn out this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Without the call-site capture of each column function, plans are built several times faster.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _table_bytes: dict[tuple[str, str], int] = {}
 
 
@@ -32,27 +43,31 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
+    for key, value in {**RUNTIME_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def prepare(spark: SparkSession, data_dir: str | None = None) -> SparkSession:
-    """Apply the runtime settings; with ``data_dir``, size the shuffles for its tables.
+    """Apply the runtime settings; with ``data_dir``, size scans and shuffles for its tables.
 
-    The initial partition count only ever goes up from the session's own setting: adaptive
-    execution merges small partitions later, but cannot split a shuffle that began too coarse.
+    Shuffles never start with fewer partitions than the session asks for: adaptive execution
+    merges small partitions later, but cannot refine a shuffle that began too coarse.
     """
-    for key, value in RUNTIME_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    settings = dict(RUNTIME_SETTINGS)
     if data_dir is not None:
-        wanted = math.ceil(table_bytes(spark, data_dir) / TARGET_PARTITION_BYTES)
+        size = table_bytes(spark, data_dir)
+        wanted = min(math.ceil(size / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(max(wanted, configured)),
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            max(wanted, configured)
         )
+        settings["spark.sql.files.maxPartitionBytes"] = str(
+            max(SCAN_BYTES, math.ceil(size / MAX_SCAN_TASKS))
+        )
+    for key, value in settings.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

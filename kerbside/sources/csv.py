@@ -108,22 +108,31 @@ def add_row_index(scan: DataFrame, name: str = "row_index") -> DataFrame:
     the rows in the blocks before. Only the block counts, one row per scan block, are ordered
     globally. ``scan`` must come straight from a file reader.
     """
-    located = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__id"),
+    spark = scan.sparkSession
+    located = _pinned(
+        scan.select(
+            "*",
+            F.col("_metadata.file_path").alias("__path"),
+            F.col("_metadata.file_block_start").alias("__start"),
+            F.monotonically_increasing_id().alias("__id"),
+        ),
+        scratch_path(spark, "located"),
     )
     blocks = located.groupBy("__path", "__start").agg(
         F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
     before = Window.orderBy("__path", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "__path",
-        "__start",
-        (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+    shift = F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")
+    offsets = _pinned(
+        blocks.select("__path", "__start", shift.alias("__shift")), scratch_path(spark, "offsets")
     )
     numbered = located.join(offsets, ["__path", "__start"])
     return numbered.select(
         (F.col("__id") + F.col("__shift")).alias(name), *[F.col(c) for c in scan.columns]
     )
+
+
+def _pinned(df: DataFrame, path: str) -> DataFrame:
+    """Written and read back: row ids can no longer change, and the size is known to the planner."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
