@@ -1,0 +1,118 @@
+"""What the planner makes of the queries: pruning, pushdown, shuffles, skew."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from kerbside.operators.dedup import first_per_key
+from kerbside.registry.queries import QUERIES
+from kerbside.sources.star_schema import feed, trips
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+# These write and read back first; what they return is a plain scan.
+PURE = [n for n in QUERIES if n not in {
+    "parquet_single_file", "backfill_twice", "incremental_landing", "ingest_audit", "built_tables",
+    "partitioned_layout", "one_year_scan", "misplaced_rows", "month_templated_scan", "month_tables",
+    "table_replace_append", "external_table", "seed_table", "write_if_absent", "csv_to_parquet",
+    "csv_row_index", "inferred_columns", "parquet_repartition_roundtrip",
+} and not n.startswith("csv_roundtrip")]
+
+
+@pytest.mark.parametrize("name", PURE)
+def test_no_pairwise_joins(spark, name):
+    text = plan(QUERIES[name](spark, DATA))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_only_needed_tables_are_joined(spark):
+    bases = plan(feed(spark, DATA, "fhv", ["dispatching_base_num"]))
+    assert "Join" not in bases and bases.count("FileScan") == 1
+    timed = plan(trips(spark, DATA, ["pickup_datetime", "dropoff_datetime"]))
+    assert timed.count("FileScan") == 2
+    read = re.search(r"ReadSchema: (struct<[^>]*>)", bases).group(1)
+    assert read == "struct<l_suppkey:bigint,l_returnflag:string>"
+
+
+def test_date_predicates_reach_the_scan(spark):
+    text = plan(QUERIES["trips_on_date"](spark, DATA))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-15T00:00" in text
+    assert "LessThan(o_orderdate,1" in text
+    assert "EqualTo(l_returnflag,R)" in text
+
+
+def test_dedup_limits_keys_before_the_shuffle(spark):
+    text = plan(first_per_key(feed(spark, DATA, "fhv"), ["pickup_datetime", "dispatching_base_num"]))
+    partial = [line for line in text.splitlines() if line.rstrip().endswith("Partial")]
+    assert len(partial) == 1 and "WindowGroupLimit" in partial[0]
+
+
+def test_revenue_shuffles_partial_sums_once(spark):
+    text = plan(QUERIES["monthly_zone_revenue"](spark, DATA))
+    above_union = text.split("Union")[0]
+    assert above_union.count("Exchange") == 1 and "partial_sum" in above_union
+
+
+def test_zones_meet_counted_pairs_not_trips(spark, no_broadcast):
+    text = plan(QUERIES["top_pairs"](spark, DATA))
+    first_zone_join = text.index("BroadcastHashJoin")
+    assert first_zone_join < text.index("partial_count(1)")
+    assert "TakeOrderedAndProject" in text
+
+
+def test_no_full_sort_for_a_top_row(spark):
+    text = plan(QUERIES["largest_tip"](spark, DATA))
+    assert "TakeOrderedAndProject(limit=1" in text and "rangepartitioning" not in text
+
+
+def test_a_hot_key_is_cut_to_one_row_per_task(spark):
+    """Half of all rows share one key; the plan above sends one row of it per task."""
+    df = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id"
+    )
+    deduped = first_per_key(df, ["k"])
+    assert deduped.filter("k = -1").collect() == [(-1, 0)]
+    assert deduped.count() == 20_001
+
+
+def test_a_hot_join_key_is_split(spark, no_broadcast):
+    """With a dimension too large to broadcast, the partition of a hot key is read in slices."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 300_000, 1, 16).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("int").alias("z"),
+            "id",
+        )
+        dim = spark.range(1000).select(F.col("id").cast("int").alias("z2"), F.lit("n").alias("name"))
+        joined = facts.join(dim, F.col("z") == F.col("z2"))
+        assert joined.count() == 300_000
+        counted = joined.groupBy("name").count()
+        assert counted.collect()[0][1] == 300_000
+        assert "skew" in counted._jdf.queryExecution().executedPlan().toString().lower()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
