@@ -79,18 +79,20 @@ def check_model(
 
     linked = sorted({c.column for c in checks if c.kind == "relationships"})
     if linked:
-        # The parent's key in the child's type and text, once per child column that refers to it.
-        keys = [
-            parent.frame.select(
-                F.lit(c).alias("column"),
-                key_as(F.col(parent_key), df.schema[c].dataType).cast("string").alias("value"),
-                F.lit(True).alias("has_parent"),
-            ).distinct()
-            for c in linked
-        ]
-        parents = keys[0]
-        for more in keys[1:]:
-            parents = parents.unionByName(more)
+        # The parent's keys as each child column would print them.
+        keys = F.explode(
+            F.array(*[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    key_as(F.col(parent_key), df.schema[c].dataType).cast("string").alias("value"),
+                )
+                for c in linked
+            ])
+        )
+        parents = (
+            parent.frame.select(keys.alias("key")).select("key.*").distinct()
+            .withColumn("has_parent", F.lit(True))
+        )
         counts = counts.join(
             F.broadcast(parents) if parent.small else parents, ["column", "value"], "left"
         )

@@ -28,10 +28,10 @@ from kerbside.plans.marts import dim_zones, fact_fhv_trips, fact_trips, known_zo
 from kerbside.plans.revenue import FEED_TIMES, monthly_zone_revenue, trips_by_service
 from kerbside.plans.revenue import FEED_COLUMNS as REVENUE_COLUMNS
 from kerbside.plans.staging import stage_fhv, stage_green, stage_yellow
-from kerbside.session import files_for, prepare, scratch_path, table_bytes
+from kerbside.session import files_for, input_bytes, prepare, scratch_path
 from kerbside.sinks import files, tables
 from kerbside.sources import csv, monthly
-from kerbside.sources.star_schema import feed, trips, zones
+from kerbside.sources.star_schema import feed, input_paths, trips, zones
 from kerbside.sources.tables import Sources, load_seed, local_rows, read_tree, read_year, \
     register_external
 from kerbside.streaming import land_new_files
@@ -65,7 +65,7 @@ def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @functools.wraps(build)
         def run(spark: SparkSession, data_dir: str) -> DataFrame:
-            prepare(spark, data_dir)
+            prepare(spark, input_paths(data_dir))
             return comparable(build(spark, data_dir))
 
         QUERIES[name] = run
@@ -354,7 +354,7 @@ def inferred_columns(spark, d):
 @query("parquet_repartition_roundtrip")
 def parquet_repartition_roundtrip(spark, d):
     path = scratch_path(spark, "repartitioned")
-    pieces = files_for(table_bytes(spark, d), at_least=DEFAULT_FILES)
+    pieces = files_for(input_bytes(spark, input_paths(d)), at_least=DEFAULT_FILES)
     files.write_repartitioned(feed(spark, d, "fhvhv"), path, pieces)
     return spark.read.parquet(path)
 

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 TARGET_FILE_BYTES = 256 * MIB
@@ -35,7 +34,7 @@ RUNTIME_SETTINGS = {
 # Without the call-site capture of each column function, plans are built several times faster.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-_table_bytes: dict[tuple[str, str], int] = {}
+_known_bytes: dict[tuple[str, str], int] = {}
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,15 +47,15 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession, data_dir: str | None = None) -> SparkSession:
-    """Apply the runtime settings; with ``data_dir``, size scans and shuffles for its tables.
+def prepare(spark: SparkSession, paths: list[str] | None = None) -> SparkSession:
+    """Apply the runtime settings; with ``paths``, size scans and shuffles for those inputs.
 
     Shuffles never start with fewer partitions than the session asks for: adaptive execution
     merges small partitions later, but cannot refine a shuffle that began too coarse.
     """
     settings = dict(RUNTIME_SETTINGS)
-    if data_dir is not None:
-        size = table_bytes(spark, data_dir)
+    if paths:
+        size = input_bytes(spark, paths)
         wanted = min(math.ceil(size / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
@@ -71,18 +70,18 @@ def prepare(spark: SparkSession, data_dir: str | None = None) -> SparkSession:
     return spark
 
 
-def table_bytes(spark: SparkSession, data_dir: str) -> int:
-    """Size of the Parquet files below ``data_dir``; file contents are not read."""
-    key = (spark.sparkContext.applicationId, data_dir)
-    if key not in _table_bytes:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(data_dir)
-        )
-        _table_bytes[key] = files.agg(F.sum("length")).first()[0] or 0
-    return _table_bytes[key]
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Stored size of files or directories, from the file system's own summary."""
+    return sum(_path_bytes(spark, path) for path in paths)
+
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _known_bytes:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+        _known_bytes[key] = system.getContentSummary(location).getLength()
+    return _known_bytes[key]
 
 
 def files_for(total_bytes: int, at_least: int) -> int:

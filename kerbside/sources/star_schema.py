@@ -85,6 +85,11 @@ FEED_COLUMNS = {
 }
 
 
+def input_paths(data_dir: str) -> list[str]:
+    """The tables that trips are made of."""
+    return [f"{data_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer", "supplier")]
+
+
 # Schemas seen so far: a scan that declares its schema skips the job that reads file footers.
 _schemas: dict[tuple[str, str], T.StructType] = {}
 

@@ -27,6 +27,11 @@ def read_year(spark: SparkSession, root: str, service: str, year: int) -> DataFr
     return tree.filter((F.col("service_type") == service) & (F.col("year") == year))
 
 
+def read_month(spark: SparkSession, root: str, month: str) -> DataFrame:
+    """One month (``yyyy-MM``) of a table partitioned by ``file_month``; other months stay unread."""
+    return read_tree(spark, root).filter(F.col("file_month") == month)
+
+
 @dataclass(frozen=True)
 class Sources:
     """Named inputs: a path (ends up as a Parquet scan) or a catalog table per name."""

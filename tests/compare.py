@@ -19,7 +19,8 @@ def sql_rows(data_dir: str, sql: str) -> tuple[list[str], list[str], list[tuple]
     con = duckdb.connect()
     for name in TABLES:
         path = Path(data_dir) / f"{name}.parquet"
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+        if path.exists():
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     result = con.execute(sql)
     columns = [c[0] for c in result.description]
     types = [str(c[1]) for c in result.description]

@@ -13,7 +13,7 @@ from kerbside.plans.build import ingest_months
 from kerbside.sinks import files, jdbc as jdbc_sink, tables
 from kerbside.sources import csv, jdbc, monthly
 from kerbside.sources.tables import (
-    Sources, load_seed, local_rows, read_tree, read_year, register_external,
+    Sources, load_seed, local_rows, read_month, read_tree, read_year, register_external,
 )
 from kerbside.streaming import land_new_files
 
@@ -179,6 +179,15 @@ def test_layout_prunes_to_one_year_and_hides_nothing(spark, tmp_path):
     assert names and not any(n[0] in "_." for n in names)
 
 
+def test_a_month_of_a_table_is_one_partition(spark, tmp_path):
+    path = str(tmp_path / "months")
+    df = spark.sql("SELECT id, '2019-0' || (1 + id % 3) AS file_month FROM range(30)")
+    files.write_by_month(df, path, ["file_month"])
+    month = read_month(spark, path, "2019-02")
+    assert month.count() == 10
+    assert "PartitionFilters: [isnotnull(file_month" in month._jdf.queryExecution().toString()
+
+
 def test_parquet_writers(spark, tmp_path):
     df = spark.range(100)
     files.write_repartitioned(df, str(tmp_path / "many"), 24)
@@ -257,8 +266,8 @@ def test_session_sizes(spark, monkeypatch):
     before = spark.conf.get(scan)
 
     def sized(total):
-        monkeypatch.setattr(session, "table_bytes", lambda *_: total)
-        session.prepare(spark, "/data")
+        monkeypatch.setattr(session, "input_bytes", lambda *_: total)
+        session.prepare(spark, ["/data"])
         return int(spark.conf.get(initial)), int(spark.conf.get(scan).rstrip("B"))
 
     try:
@@ -274,6 +283,13 @@ def test_session_sizes(spark, monkeypatch):
     assert session.files_for(100 * session.TARGET_FILE_BYTES, 24) == 100
 
 
+def test_input_size(spark, tmp_path):
+    (tmp_path / "part").mkdir()
+    (tmp_path / "a").write_bytes(b"x" * 10)
+    (tmp_path / "part" / "b").write_bytes(b"x" * 5)
+    assert session.input_bytes(spark, [str(tmp_path), str(tmp_path / "a")]) == 25
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     path = session.scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
