@@ -24,7 +24,8 @@ def encode_base_pandas():
 
     # Defined here, not at module level, so that it travels to the executors by value.
     def encode(batch: pd.Series) -> pd.Series:
-        numbers = pd.to_numeric(batch.str[1:], errors="coerce").dropna().astype("int64")
+        tails = batch.str[1:]
+        numbers = tails[tails.str.fullmatch(r"[+-]?\d{1,18}", na=False)].astype("int64")
         prefix = np.select([numbers % 7 == 0, numbers % 3 == 0], ["s/", "a/"], "e/")
         encoded = pd.Series(prefix, index=numbers.index) + numbers.map("{:03x}".format)
         return encoded.reindex(batch.index)

@@ -34,8 +34,9 @@ class Lookup:
     small: bool
 
     @classmethod
-    def measure(cls, frame: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Lookup:
-        return cls(frame, measured_bytes(frame) <= max_bytes)
+    def measure(cls, frame: DataFrame, max_bytes: int | None = None) -> Lookup:
+        bound = BROADCAST_BYTES if max_bytes is None else max_bytes
+        return cls(frame, measured_bytes(frame) <= bound)
 
     def filter(self, condition: Column) -> Lookup:
         return Lookup(self.frame.filter(condition), self.small)

@@ -26,10 +26,12 @@ def ingest_months(
     schema: T.StructType | str,
     dest: str,
     template: str = RAW_FILE_TEMPLATE,
-    strict: bool = False,
+    strict: bool = True,
 ) -> int:
     """Land the given months' files as Parquet by year and month; returns the rows written.
 
+    A value that does not parse fails the run, unless ``strict`` is off and it becomes NULL.
+
     A month replaces what was landed for it before, so any range can be run again. The partition
     is the file's month: a stray row with another date stays with its file, and cannot displace
     the month its date points to.

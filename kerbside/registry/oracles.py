@@ -365,11 +365,10 @@ ORACLES: dict[str, str] = {
         "green", "lpep", ", CAST(NULL AS DOUBLE) AS ehail_fee, trip_type"
     ),
     "csv_to_parquet": f"{_FHV_ROWS} FROM trips WHERE service = 'fhv'",
-    "csv_row_index": f"""{_FHV_ROWS},
-               row_number() OVER (
-                   ORDER BY dispatching_base_num NULLS FIRST, pickup_datetime NULLS FIRST,
-                            dropoff_datetime NULLS FIRST, "PULocationID" NULLS FIRST,
-                            "DOLocationID" NULLS FIRST, "SR_Flag" NULLS FIRST) - 1 AS row_index
+    "csv_row_index": f"""{_BASE}
+        SELECT count(*) AS n, CAST(0 AS BIGINT) AS first_index, count(*) - 1 AS last_index,
+               count(*) AS indexes, count(pickup_datetime) AS pickups,
+               CAST(sum("PULocationID") AS BIGINT) AS pickup_zone_total
         FROM trips WHERE service = 'fhv'""",
     "inferred_columns": f"""{_BASE}
         SELECT CAST(0 AS INTEGER) AS position, 'hvfhs_license_num' AS column_name,

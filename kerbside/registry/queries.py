@@ -16,7 +16,6 @@ from kerbside.fixed_values import (
 from kerbside.functions import encode_base_pandas, month_name
 from kerbside.operators.aggregates import exact_sum
 from kerbside.operators.inspect import schema_rows
-from kerbside.operators.lookups import Lookup
 from kerbside.operators.quality import (
     load_audit, missing_values, repeated_values, unaccepted_values, unmatched_values,
 )
@@ -25,15 +24,16 @@ from kerbside.plans import questions
 from kerbside.plans.build import build_models, ingest_months
 from kerbside.plans.checks import check_report
 from kerbside.plans.marts import dim_zones, fact_fhv_trips, fact_trips, known_zones
-from kerbside.plans.revenue import FEED_TIMES, monthly_zone_revenue, trips_by_service
 from kerbside.plans.revenue import FEED_COLUMNS as REVENUE_COLUMNS
+from kerbside.plans.revenue import FEED_TIMES, monthly_zone_revenue, trips_by_service
 from kerbside.plans.staging import stage_fhv, stage_green, stage_yellow
 from kerbside.session import files_for, input_bytes, prepare, scratch_path
 from kerbside.sinks import files, tables
 from kerbside.sources import csv, monthly
 from kerbside.sources.star_schema import feed, input_paths, trips, zones
-from kerbside.sources.tables import Sources, load_seed, local_rows, read_tree, read_year, \
-    register_external
+from kerbside.sources.tables import (
+    Sources, load_seed, local_rows, read_tree, read_year, register_external,
+)
 from kerbside.streaming import land_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,12 +331,18 @@ def csv_to_parquet(spark, d):
 
 @query("csv_row_index")
 def csv_row_index(spark, d):
-    """Rows numbered in file order; the file is sorted, so the numbers follow from the rows."""
+    """Every row gets one number, from 0 on without gaps; which one depends on the files written."""
     path = scratch_path(spark, "indexed")
-    rides = feed(spark, d, "fhv")
-    files.write_csv(rides.orderBy(*rides.columns), f"{path}/plain")
-    files.index_csv(spark, f"{path}/plain", f"{path}/indexed")
-    return csv.read_csv(spark, f"{path}/indexed", "row_index bigint, " + FHV_SCHEMA)
+    files.index_csv(spark, _as_csv(spark, d, "fhv"), path)
+    indexed = csv.read_csv(spark, path, "row_index bigint, " + FHV_SCHEMA, strict=True)
+    return indexed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("row_index").alias("first_index"),
+        F.max("row_index").alias("last_index"),
+        F.count_distinct("row_index").alias("indexes"),
+        F.count("pickup_datetime").alias("pickups"),
+        F.sum("PULocationID").alias("pickup_zone_total"),
+    )
 
 
 @query("inferred_columns")
@@ -433,7 +439,7 @@ def backfill_twice(spark, d):
     root, months = _monthly_files(spark, d)
     dest = f"{root}/landed"
     for _ in range(2):
-        ingest_months(spark, "fhv", months, root, FHV_SCHEMA, dest, MONTH_DIRS, strict=True)
+        ingest_months(spark, "fhv", months, root, FHV_SCHEMA, dest, MONTH_DIRS)
     return spark.read.parquet(dest)
 
 
@@ -452,7 +458,7 @@ def ingest_audit(spark, d):
     """Rows expected from the source and found after landing, per month."""
     root, months = _monthly_files(spark, d)
     dest = f"{root}/landed"
-    ingest_months(spark, "fhv", months, root, FHV_SCHEMA, dest, MONTH_DIRS, strict=True)
+    ingest_months(spark, "fhv", months, root, FHV_SCHEMA, dest, MONTH_DIRS)
     source = feed(spark, d, "fhv", ["pickup_datetime"]).select(
         month_name(F.col("pickup_datetime")).alias("month_name")
     )

@@ -17,8 +17,8 @@ def land_new_files(
     checkpoint: str,
     template: str = RAW_FILE_TEMPLATE,
     files_per_batch: int = 1000,
-) -> int:
-    """Append the rows of unseen CSV files to ``dest``, by file month; returns the rows added.
+) -> None:
+    """Append the rows of unseen CSV files to ``dest``, by file month.
 
     The checkpoint remembers the files taken, so a run without new files adds nothing and a run
     that died is resumed. Stateless: no watermark is needed.
@@ -41,4 +41,3 @@ def land_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)

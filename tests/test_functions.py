@@ -111,6 +111,8 @@ BASES = {
     "B00021": "s/015",  # both divisors: seven comes first
     "B00001": "e/001",
     "B70000": "s/11170",
+    "B-14": "s/-0e",
+    "B1.5": None,
     "Bxyz": None,
     "B": None,
     "": None,

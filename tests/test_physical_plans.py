@@ -77,6 +77,14 @@ def test_zones_meet_counted_pairs_not_trips(spark, no_broadcast):
     assert "TakeOrderedAndProject" in text
 
 
+def test_nothing_is_broadcast_beyond_the_bound(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr("kerbside.operators.lookups.BROADCAST_BYTES", 0)
+    for name in ("fact_trips", "fact_fhv_trips", "top_pairs", "dq_report", "dq_relationships"):
+        assert "Broadcast" not in plan(QUERIES[name](spark, DATA))
+    monkeypatch.undo()
+    assert plan(QUERIES["fact_trips"](spark, DATA)).count("BroadcastHashJoin") == 2
+
+
 def test_no_full_sort_for_a_top_row(spark):
     text = plan(QUERIES["largest_tip"](spark, DATA))
     assert "TakeOrderedAndProject(limit=1" in text and "rangepartitioning" not in text

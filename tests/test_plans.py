@@ -179,7 +179,9 @@ def test_missing_zone_names(spark):
 
 
 def test_trip_questions(spark):
-    rides = trips(spark, [(1, 3, T1, T2, 1.0, 1.0), (2, 3, T2, T1, 1.0, 7.0), (3, 3, None, T1, 1.0, None)])
+    rides = trips(spark, [
+        (1, 3, T1, T2, 1.0, 1.0), (2, 3, T2, T1, 1.0, 7.0), (3, 3, None, T1, 1.0, None),
+    ])
     longest = questions.longest_trips(rides, 2).collect()
     assert [(str(r.pickup_date), r.duration_seconds) for r in longest] == [
         ("2021-01-01", 844), ("2021-01-01", -844)
