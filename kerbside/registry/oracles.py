@@ -389,6 +389,14 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 6, 'SR_Flag',
                CASE WHEN count(TRY_CAST("SR_Flag" AS DOUBLE)) = 0 THEN 'string' END FROM trips""",
+    "table_ddl": f"""{_BASE}
+        SELECT 'CREATE TABLE trips (hvfhs_license_num STRING,dispatching_base_num STRING,'
+               || 'pickup_datetime TIMESTAMP,dropoff_datetime TIMESTAMP,PULocationID '
+               || CASE WHEN max("PULocationID") <= 2147483647 THEN 'INT' ELSE 'BIGINT' END
+               || ',DOLocationID '
+               || CASE WHEN max("DOLocationID") <= 2147483647 THEN 'INT' ELSE 'BIGINT' END
+               || ',SR_Flag STRING)' AS ddl
+        FROM trips""",
     "parquet_repartition_roundtrip": _FHVHV_ROWS,
     "partitioned_layout": _LAKE,
     "one_year_scan": f"{_LAKE} AND service = 'green' AND year(pickup_datetime) = 1996",

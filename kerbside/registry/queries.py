@@ -15,7 +15,7 @@ from kerbside.fixed_values import (
 )
 from kerbside.functions import encode_base_pandas, month_name
 from kerbside.operators.aggregates import exact_sum
-from kerbside.operators.inspect import schema_rows
+from kerbside.operators.inspect import schema_rows, table_ddl
 from kerbside.operators.quality import (
     load_audit, missing_values, repeated_values, unaccepted_values, unmatched_values,
 )
@@ -355,6 +355,13 @@ def inferred_columns(spark, d):
     )
 
 
+@query("table_ddl")
+def table_ddl_of_csv(spark, d):
+    """DDL of a table for a CSV whose types are inferred over all rows."""
+    inferred = csv.read_csv_inferred(spark, _as_csv(spark, d, "fhvhv"))
+    return spark.createDataFrame([(table_ddl(inferred, "trips"),)], "ddl string")
+
+
 # --- Parquet, layout, backfill --------------------------------------------------
 
 @query("parquet_repartition_roundtrip")

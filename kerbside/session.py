@@ -35,6 +35,7 @@ RUNTIME_SETTINGS = {
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _known_bytes: dict[tuple[str, str], int] = {}
+_local_scratch: dict[str, str] = {}
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
@@ -94,10 +95,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local session without that setting falls back to the machine's temporary folder.
     """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to scratch; frames read from there end with it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="kerbside-")
-    run = spark.sparkContext.applicationId
-    return f"{shared.rstrip('/')}/kerbside/{run}/{label}-{uuid.uuid4().hex}"
+        if application not in _local_scratch:
+            _local_scratch[application] = tempfile.mkdtemp(prefix="kerbside-")
+        shared = _local_scratch[application]
+    return f"{shared.rstrip('/')}/kerbside/{application}"

@@ -298,3 +298,28 @@ def test_scratch_is_in_the_shared_folder(spark):
     path = session.scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert path != session.scratch_path(spark, "x")
+
+
+def test_released_scratch_is_this_applications_only(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "kerbside"
+    spark.range(1).write.parquet(session.scratch_path(spark, "gone"))
+    (shared / "other-app").mkdir()
+    session.release_scratch(spark)
+    assert [p.name for p in shared.iterdir()] == ["other-app"]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    class Context:
+        applicationId, master = "app-1", "spark://host:7077"
+
+    class Conf:
+        get = staticmethod(lambda key, default: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(Session, "x")
+    Context.master = "local[2]"
+    first, second = session.scratch_path(Session, "x"), session.scratch_path(Session, "y")
+    assert os.path.dirname(first) == os.path.dirname(second)
