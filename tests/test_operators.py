@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import pytest
@@ -112,6 +113,14 @@ def test_sums_of_cents_do_not_depend_on_order(spark, cents):
         assert df.agg(aggregates.exact_sum(df, "v")).first()[0] == sum(cents) / 100
 
 
+def test_sums_keep_finer_values(spark):
+    values = [0.00001, 0.123456, -7.000004, 1e12, 2.5e-9]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    total = df.filter("v < 1e6").agg(aggregates.exact_sum(df, "v")).first()[0]
+    assert abs(total - math.fsum(v for v in values if v < 1e6)) < 1e-12
+    assert df.agg(aggregates.exact_sum(df, "v")).first()[0] == pytest.approx(math.fsum(values))
+
+
 def test_top_rows_and_samples(spark):
     df = spark.createDataFrame([(None, "n"), (5, "b"), (5, "a"), (1, "c")], "v int, s string")
     assert [tuple(r) for r in topn.top_rows(df, "v", 2).collect()] == [(5, "a"), (5, "b")]
