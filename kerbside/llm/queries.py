@@ -4,28 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import table
 from kerbside.llm.decontaminate import contamination
+from kerbside.llm.langid import fit, identify
 from kerbside.llm.line_dedup import dedup_lines
+from kerbside.llm.packing import pack_documents
 from kerbside.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def id_remainder(n: int):
+    """crc32 of the id as text, modulo ``n``; -1 without an id, which is in no fold."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(-1))
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "row.doc_id", F.col("new_text").alias("text"), "n_lines", "n_removed"
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
     return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs.where(id_remainder(4) != 2))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "row.doc_id", (F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 4 == 2)
+        .alias("held_out"), "lang_pred", "score",
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -36,6 +62,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
+    "op7_language_id": op7_language_id,
     "op10_decontamination": op10_decontamination,
 }
