@@ -14,6 +14,8 @@ from kerbside.llm.langid import fit, identify
 from kerbside.llm.line_dedup import dedup_lines
 from kerbside.llm.packing import pack_documents
 from kerbside.llm.simhash import near_duplicates
+from kerbside.llm.token_files import read_token_files, write_token_files
+from kerbside.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +45,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "token-files")
+    shards = write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_token_files(spark, shards, folder, docs.schema["doc_id"].dataType).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs.where(id_remainder(4) != 2))
@@ -64,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
+    "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
     "op10_decontamination": op10_decontamination,
 }
