@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import table
 from kerbside.llm.decontaminate import contamination
+from kerbside.llm.embedding_dedup import near_vectors
 from kerbside.llm.langid import fit, identify
 from kerbside.llm.line_dedup import dedup_lines
 from kerbside.llm.packing import pack_documents
 from kerbside.llm.simhash import near_duplicates
+from kerbside.llm.span_dedup import dedup_spans
 from kerbside.llm.token_files import read_token_files, write_token_files
 from kerbside.session import scratch_path
 
@@ -40,6 +42,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
     return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -64,6 +70,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_spans(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", F.col("new_text").alias("text"), "n_sentences", "n_removed"
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -75,8 +87,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
+    "op9_span_dedup": op9_span_dedup,
     "op10_decontamination": op10_decontamination,
 }
