@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import table
@@ -13,6 +13,8 @@ from kerbside.llm.decontaminate import contamination
 from kerbside.llm.embedding_dedup import near_vectors
 from kerbside.llm.langid import fit, identify
 from kerbside.llm.line_dedup import dedup_lines
+from kerbside.llm.lm_score import fit as fit_language_model
+from kerbside.llm.lm_score import score_documents
 from kerbside.llm.packing import pack_documents
 from kerbside.llm.simhash import near_duplicates
 from kerbside.llm.span_dedup import dedup_spans
@@ -22,9 +24,9 @@ from kerbside.session import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def id_remainder(n: int):
+def id_remainder(n: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``n``; -1 without an id, which is in no fold."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(-1))
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(-1))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_language_model(docs.where(id_remainder(5) != 1))
+    return score_documents(docs, model).select(
+        "doc_id", (id_remainder(5) == 1).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch_path(spark, "token-files")
@@ -65,8 +76,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs.where(id_remainder(4) != 2))
     return identify(docs.select("doc_id", "text"), model).select(
-        "row.doc_id", (F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 4 == 2)
-        .alias("held_out"), "lang_pred", "score",
+        "row.doc_id", (id_remainder(4, "row.doc_id") == 2).alias("held_out"), "lang_pred", "score",
     )
 
 
@@ -89,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op5_lm_score": op5_lm_score,
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
     "op9_span_dedup": op9_span_dedup,
