@@ -16,6 +16,7 @@ from kerbside.llm.line_dedup import dedup_lines
 from kerbside.llm.lm_score import fit as fit_language_model
 from kerbside.llm.lm_score import score_documents
 from kerbside.llm.packing import pack_documents
+from kerbside.llm.pii import KINDS, base_structs, find_pii, spans_text
 from kerbside.llm.simhash import near_duplicates
 from kerbside.llm.span_dedup import dedup_spans
 from kerbside.llm.token_files import read_token_files, write_token_files
@@ -80,6 +81,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(spans_text(base_structs()), 256).alias("base_sha256"),
+        spans_text(F.concat(base_structs(), "found")).alias("spans"),
+    )
+
+
 def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_spans(table(spark, sf_dir, "documents")).select(
         "row.doc_id", F.col("new_text").alias("text"), "n_sentences", "n_removed"
@@ -102,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op5_lm_score": op5_lm_score,
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
+    "op8_pii": op8_pii,
     "op9_span_dedup": op9_span_dedup,
     "op10_decontamination": op10_decontamination,
 }
