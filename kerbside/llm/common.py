@@ -12,14 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the shared scratch folder and read it again.
 
     Cuts the lineage in a way that outlives executors; what is computed once is not repeated.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

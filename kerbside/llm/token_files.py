@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from kerbside.llm.common import saved
 from kerbside.llm.tokens import SpacedWords, encoder
@@ -76,8 +77,8 @@ def _read(path: str) -> bytes:
         return f.read()
 
 
-def token_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """``(doc_id, ids)``: each whole text's ids and ``end_id``, unsigned 32-bit, low byte first."""
+def token_ids(docs: DataFrame, vocabulary: str, end_id: int, form: str) -> DataFrame:
+    """``(doc_id, ids)``: each whole text's ids and ``end_id``, as numbers of the numpy ``form``."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType())])
     end = end_id.to_bytes(ID_BYTES, "little")
 
@@ -86,7 +87,10 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)
-                ids = [to_ids(text.as_py() or "") + end for text in batch.column(1)]
+                ids = [
+                    np.frombuffer(to_ids(text.as_py() or "") + end, "<u4").astype(form).tobytes()
+                    for text in batch.column(1)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(ids, pa.binary())], names=schema.names
                 )
@@ -94,14 +98,14 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
-def ids_by_rank(tokens: DataFrame) -> np.ndarray:
+def ids_by_rank(tokens: DataFrame, form: str) -> np.ndarray:
     """All ids that occur, the most frequent first; as many as the vocabulary has at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                new = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
+                new = np.bincount(np.frombuffer(ids.as_py(), form))
                 if len(new) > len(total):
                     total = np.pad(total, (0, len(new) - len(total)))
                 total[:len(new)] += new
@@ -127,8 +131,10 @@ def write_token_files(
     counts are listed. Null and empty texts are their end id alone; null ids come first; repeated
     rows are written each. An empty table gives no shard.
     """
-    tokens = saved(token_ids(docs, vocabulary, end_id), "token-ids")
-    by_rank = ids_by_rank(tokens)
+    # Two bytes an id where they do: this table and its shuffle are most of what is moved.
+    form = "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
+    tokens = saved(token_ids(docs, vocabulary, end_id, form), "token-ids", "zstd")
+    by_rank = ids_by_rank(tokens, form)
     _write(f"{folder}/ranks.bin", [by_rank.tobytes()])
     rank_of = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
@@ -139,7 +145,7 @@ def write_token_files(
         n_held = 0
         for batch in batches:
             for k in range(len(batch)):
-                ids = np.frombuffer(batch.column(1)[k].as_py(), "<u4")
+                ids = np.frombuffer(batch.column(1)[k].as_py(), form)
                 held.append((batch.column(0)[k], ids))
                 n_held += len(ids)
                 if n_held >= SHARD_IDS:

@@ -8,17 +8,29 @@ tokenizers library's own model.
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 import regex
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 1_000_000  # then the cache starts anew: about 200 MB
+CACHED_WORDS = 400_000  # then the cache starts anew: about 80 MB
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 # Unicode white space, as the tokenizers' patterns take it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+CUT = "\x01"
+# A full stop or comma not between a letter or digit and one of those, white space or the end: both
+# vocabularies' patterns keep runs of marks together, and some take the space before a mark.
+_CROWDED = re.compile(r"[.,](?:(?<=[\W_][.,])|(?<=\A[.,])|(?=_)|(?=[^\w\s\x01]))").search
+
+
+def lone_marks(text: str) -> bool:
+    """Whether each full stop and comma is a piece of its own, next to a word."""
+    return _CROWDED(text) is None
+
+
 def _byte_letters() -> dict[int, str]:
     """Printable Latin-1 bytes stand for themselves, the others for the letters from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -70,7 +82,13 @@ class LowerWords(WordEncoder):
         self._words = _Cached(self._word)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" ")))
+        if text.isascii():
+            text = text.lower()
+        text = text.replace("\n", " ")
+        if not lone_marks(text):
+            return b"".join(map(self._word, text.split(" ")))
+        words = text.replace(".", " .").replace(",", " ,").split(" ")
+        return b"".join(map(self._words.__getitem__, words))
 
     def _word(self, word: str) -> bytes:
         plain = word.lower() if word.isascii() else self._normalizer.normalize_str(word)
@@ -87,19 +105,18 @@ class SpacedWords(WordEncoder):
             rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
         )
         self._find = fine.findall
-        self._first = _Cached(self._text)
-        self._later = _Cached(lambda word: self._text(" " + word))
-        self._line_end = self._text("\n")
+        self._words = _Cached(self._text)
 
     def encode(self, text: str) -> bytes:
-        # Other white space than single spaces and line ends between words goes the long way.
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        # White space other than single spaces and line ends between words goes the long way, and
+        # so does the control character that marks the cuts here.
+        even = len(text.split()) == text.count(" ") + text.count("\n") + 1
+        if not even or CUT in text:
             return self._text(text)
-        return self._line_end.join(map(self._line, text.split("\n")))
-
-    def _line(self, line: str) -> bytes:
-        first, *later = line.split(" ")
-        return self._first[first] + b"".join(map(self._later.__getitem__, later))
+        text = text.replace(" ", CUT + " ").replace("\n", f"{CUT}\n{CUT}")
+        if lone_marks(text):
+            text = text.replace(".", CUT + ".").replace(",", CUT + ",")
+        return b"".join(map(self._words.__getitem__, text.split(CUT)))
 
     def _text(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self._find(text)))
