@@ -138,4 +138,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -
     same = docs["doc_id"].eqNullSafe(found["hit_id"]) & (
         text_key(docs["text"]) == found["hit_key"]
     )
-    return docs.join(found, same, "left_anti")
+    return docs.hint("merge").join(found, same, "left_anti")

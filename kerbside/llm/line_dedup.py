@@ -101,9 +101,10 @@ def dedup_lines(docs: DataFrame, divisor: int = 3, min_lines: int = 2) -> DataFr
         "found-chunks",
     )
     same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
+    # Found places grow with the documents: the same join at every size, not a broadcast at first.
     joined = docs.select(
-        whole_rows(docs).alias("row"), "doc_id", "text", text_key(F.col("text")).alias("text_key")
-    ).join(by_doc, same, "left").select("row", "text", "found")
+        whole_rows(docs).alias("row"), "doc_id", text_key(F.col("text")).alias("text_key")
+    ).hint("merge").join(by_doc, same, "left").select("row", "row.text", "found")
     schema = T.StructType([
         joined.schema["row"], T.StructField("new_text", T.StringType()),
         T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()),

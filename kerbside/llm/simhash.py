@@ -247,4 +247,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, distance: int = 4) ->
         .select(F.col("doc_id").alias("gone_id")).distinct(),
         "near-copies",
     )
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["gone_id"]), "left_anti")
+    # Copies grow with the documents: the same join at every size, not a broadcast at first.
+    return docs.hint("merge").join(dropped, docs["doc_id"].eqNullSafe(dropped["gone_id"]), "left_anti")
