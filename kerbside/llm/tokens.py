@@ -110,7 +110,8 @@ class SpacedWords(WordEncoder):
     def encode(self, text: str) -> bytes:
         # White space other than single spaces and line ends between words goes the long way, and
         # so does the control character that marks the cuts here.
-        even = len(text.split()) == text.count(" ") + text.count("\n") + 1
+        words, between = text.split(), text.count(" ") + text.count("\n")
+        even = len(words) == between + 1 and sum(map(len, words)) + between == len(text)
         if not even or CUT in text:
             return self._text(text)
         text = text.replace(" ", CUT + " ").replace("\n", f"{CUT}\n{CUT}")
