@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from kerbside.llm.common import saved
 from kerbside.llm.components import connected_components, merged
 
-TREES = 8
+TREES = 5
 # Points within this much of a split go to both sides, in units of a unit vector's mean projection
 # (1 / sqrt(dimensions)). Two unit vectors of cosine 0.9 differ by about 0.45 such units.
-SPILL = 0.25
+SPILL = 0.15
 # The trees are fitted on at most about this many vectors; every vector goes down every tree.
 SAMPLE_VECTORS = 50_000
 LEAF_ROWS = 500
