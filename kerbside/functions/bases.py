@@ -24,10 +24,15 @@ def encode_base_pandas():
 
     # Defined here, not at module level, so that it travels to the executors by value.
     def encode(batch: pd.Series) -> pd.Series:
-        tails = batch.str[1:]
-        numbers = tails[tails.str.fullmatch(r"[+-]?\d{1,18}", na=False)].astype("int64")
+        # White space around the number and any number of 64 bits, as a cast takes them.
+        tails = batch.str[1:].str.strip()
+        texts = tails[tails.str.fullmatch(r"[+-]?[0-9]+", na=False)]
+        exact = np.array([*map(int, texts)], dtype=object)
+        fits = (exact >= -(2**63)) & (exact < 2**63)
+        numbers = exact[fits.astype(bool)].astype("int64")
         prefix = np.select([numbers % 7 == 0, numbers % 3 == 0], ["s/", "a/"], "e/")
-        encoded = pd.Series(prefix, index=numbers.index) + numbers.map("{:03x}".format)
+        digits = np.char.mod("%03x", numbers.astype(object)) if len(numbers) else prefix
+        encoded = pd.Series(np.char.add(prefix, digits), index=texts.index[fits.astype(bool)], dtype=object)
         return encoded.reindex(batch.index)
 
     encode.__annotations__ = {"batch": pd.Series, "return": pd.Series}

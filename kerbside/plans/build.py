@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.fixed_values import RAW_FILE_TEMPLATE
@@ -12,7 +13,8 @@ from kerbside.operators.quality import enforce
 from kerbside.plans.checks import check_report
 from kerbside.plans.marts import dim_zones, fact_fhv_trips, fact_trips
 from kerbside.plans.staging import stage_fhv, stage_green, stage_yellow
-from kerbside.sinks.files import write_by_month
+from kerbside.session import scratch_path
+from kerbside.sinks.files import remove_path, write_by_month
 from kerbside.sinks.tables import as_table, as_view
 from kerbside.sources.monthly import read_months, with_month_partitions
 from kerbside.sources.tables import Sources
@@ -34,12 +36,23 @@ def ingest_months(
 
     A month replaces what was landed for it before, so any range can be run again. The partition
     is the file's month: a stray row with another date stays with its file, and cannot displace
-    the month its date points to.
+    the month its date points to. A month whose file has no row any more is emptied.
     """
     landed = with_month_partitions(
         read_months(spark, root, service, months, schema, template, strict)
     )
-    return write_by_month(landed, dest, ["year", "month"], mode="overwrite")
+    # Counted while writing: one number for each month asked for.
+    counter = Observation()
+    per_month = [
+        F.count_if((F.col("year") == int(m[:4])) & (F.col("month") == int(m[5:]))).alias(m)
+        for m in months
+    ]
+    counted = landed.observe(counter, *per_month) if months else landed
+    rows = write_by_month(counted, dest, ["year", "month"], mode="overwrite")
+    for month in months:
+        if not counter.get[month]:
+            remove_path(spark, f"{dest}/year={int(month[:4])}/month={int(month[5:])}")
+    return rows
 
 
 @dataclass(frozen=True)
@@ -63,20 +76,33 @@ def build_models(
     """Staging as views, dimension and facts as tables (below ``tables_root`` when given).
 
     The inputs are the named sources ``green_tripdata``, ``yellow_tripdata``, ``fhv_tripdata``
-    and the seed.
+    and the seed. With ``check``, the staged feeds are written to scratch once, checked, and the
+    facts are built from what was checked: a failing check leaves the old facts in place. A test
+    run builds from samples, so it saves nothing: all its models are views.
     """
     def table(df: DataFrame, name: str) -> DataFrame:
+        if is_test_run:
+            return as_view(df, name)
         return as_table(df, name, f"{tables_root}/{name}" if tables_root else None)
 
-    green = as_view(
-        stage_green(sources.table("green_tripdata"), strict, is_test_run), "stg_green_tripdata"
-    )
-    yellow = as_view(
-        stage_yellow(sources.table("yellow_tripdata"), strict, is_test_run), "stg_yellow_tripdata"
-    )
-    fhv = as_view(stage_fhv(sources.table("fhv_tripdata"), strict, is_test_run), "stg_fhv_tripdata")
+    def staged(stage, source: str) -> DataFrame:
+        df = stage(sources.table(source), strict, is_test_run)
+        if check:
+            spark, path = df.sparkSession, scratch_path(df.sparkSession, f"stg_{source}")
+            df.write.parquet(path)
+            df = spark.read.schema(df.schema).parquet(path)
+        return as_view(df, f"stg_{source}")
+
+    green = staged(stage_green, "green_tripdata")
+    yellow = staged(stage_yellow, "yellow_tripdata")
+    fhv = staged(stage_fhv, "fhv_tripdata")
+    if check:
+        models = {
+            "stg_green_tripdata": green, "stg_yellow_tripdata": yellow, "stg_fhv_tripdata": fhv,
+        }
+        enforce(check_report(models, sources.table(seed)))
     zones = table(dim_zones(sources.table(seed)), "dim_zones")
-    built = Models(
+    return Models(
         green,
         yellow,
         fhv,
@@ -84,9 +110,3 @@ def build_models(
         table(fact_trips(green, yellow, zones), "fact_trips"),
         table(fact_fhv_trips(fhv, zones), "fact_fhv_trips"),
     )
-    if check:
-        staged = {
-            "stg_green_tripdata": green, "stg_yellow_tripdata": yellow, "stg_fhv_tripdata": fhv,
-        }
-        enforce(check_report(staged, sources.table(seed)))
-    return built

@@ -31,10 +31,10 @@ DECLARED_CHECKS = {
 
 
 def check_report(
-    models: dict[str, DataFrame], zones: DataFrame, key: str = "locationid"
+    models: dict[str, DataFrame], zones: DataFrame | Lookup, key: str = "locationid"
 ) -> DataFrame:
     """One row per declared check of the given models."""
-    parent = Lookup.measure(zones)
+    parent = zones if isinstance(zones, Lookup) else Lookup.measure(zones)
     reports = [
         check_model(name, df, DECLARED_CHECKS[name], parent, key) for name, df in models.items()
     ]

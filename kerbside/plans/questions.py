@@ -95,10 +95,13 @@ def popular_destination(
         trips = trips.filter(on_day(F.col("pickup_datetime"), day))
     lookup = Lookup.measure(zones)
     origin = lookup.filter(same_text(F.col("Zone"), pickup_zone))
-    pairs = count_by(trips, "PULocationID", "DOLocationID", name="pair_trips")
+    # The origin is looked up first: few of the trips start there, and only those are counted.
+    from_here = join_role(trips, origin, "PULocationID", "LocationID", {"Zone": "pickup_zone"})
+    counted = count_by(from_here, "DOLocationID", name="zone_trips")
+    named = join_role(counted, lookup, "DOLocationID", "LocationID", {"Zone": "dropoff_zone"})
     # A destination without a name counts nothing.
-    named_trips = F.when(F.col("dropoff_zone").isNotNull(), F.col("pair_trips")).otherwise(0)
-    ranked = _named_pairs(pairs, origin, lookup).groupBy(F.col("dropoff_zone").alias("zone")).agg(
+    named_trips = F.when(F.col("dropoff_zone").isNotNull(), F.col("zone_trips")).otherwise(0)
+    ranked = named.groupBy(F.col("dropoff_zone").alias("zone")).agg(
         F.sum(named_trips).alias("trips")
     )
     return top_rows(ranked, "trips", n)

@@ -51,6 +51,11 @@ _METERED_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
 ])
 
 
+def _numeric(column: str) -> str:
+    """The exact decimal of the models, as text."""
+    return f"CAST(CAST({column} AS DECIMAL(38,9)) AS VARCHAR)"
+
+
 def _staged_metered(name: str, service: str, trip_type: str) -> str:
     return f"""
 {name} AS (
@@ -61,21 +66,21 @@ def _staged_metered(name: str, service: str, trip_type: str) -> str:
            CAST("DOLocationID" AS INTEGER) AS dropoff_locationid,
            pickup_datetime, dropoff_datetime, store_and_fwd_flag,
            CAST(passenger_count AS INTEGER) AS passenger_count,
-           CAST(trip_distance AS DOUBLE) AS trip_distance,
+           {_numeric('trip_distance')} AS trip_distance,
            {trip_type} AS trip_type,
-           CAST(fare_amount AS DOUBLE) AS fare_amount,
-           CAST(extra AS DOUBLE) AS extra,
-           CAST(mta_tax AS DOUBLE) AS mta_tax,
-           CAST(tip_amount AS DOUBLE) AS tip_amount,
-           CAST(tolls_amount AS DOUBLE) AS tolls_amount,
-           CAST(0 AS DOUBLE) AS ehail_fee,
-           CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
-           CAST(total_amount AS DOUBLE) AS total_amount,
+           {_numeric('fare_amount')} AS fare_amount,
+           {_numeric('extra')} AS extra,
+           {_numeric('mta_tax')} AS mta_tax,
+           {_numeric('tip_amount')} AS tip_amount,
+           {_numeric('tolls_amount')} AS tolls_amount,
+           {_numeric('0')} AS ehail_fee,
+           {_numeric('improvement_surcharge')} AS improvement_surcharge,
+           {_numeric('total_amount')} AS total_amount,
            CAST(payment_type AS INTEGER) AS payment_type,
            CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
                 WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip'
            END AS payment_type_description,
-           CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge
+           {_numeric('congestion_surcharge')} AS congestion_surcharge
     FROM (
         SELECT *, row_number() OVER (
             PARTITION BY "VendorID", pickup_datetime ORDER BY {_METERED_ORDER}) AS rn
@@ -86,12 +91,12 @@ def _staged_metered(name: str, service: str, trip_type: str) -> str:
 
 _GREEN = _staged_metered("stg_green", "green", "trip_type")
 _YELLOW = _staged_metered("stg_yellow", "yellow", "CAST(1 AS INTEGER)")
-_FHV = """
+_FHV = f"""
 stg_fhv AS (
     SELECT md5(dispatching_base_num || '-' || CAST(pickup_datetime AS VARCHAR)) AS tripid,
            dispatching_base_num,
-           CAST("PULocationID" AS DOUBLE) AS pickup_locationid,
-           CAST("DOLocationID" AS DOUBLE) AS dropoff_locationid,
+           {_numeric('"PULocationID"')} AS pickup_locationid,
+           {_numeric('"DOLocationID"')} AS dropoff_locationid,
            pickup_datetime, dropoff_datetime, "SR_Flag" AS sr_flag
     FROM (
         SELECT *, row_number() OVER (
@@ -124,11 +129,13 @@ fact_trips AS (
     JOIN dim_zones p ON t.pickup_locationid = p.locationid AND p.borough <> 'Unknown'
     JOIN dim_zones z ON t.dropoff_locationid = z.locationid AND z.borough <> 'Unknown'
 )"""
-_FACT_FHV = """
+_FACT_FHV = f"""
 fact_fhv_trips AS (
     SELECT t.* FROM stg_fhv t
-    JOIN dim_zones p ON t.pickup_locationid = p.locationid AND p.borough <> 'Unknown'
-    JOIN dim_zones z ON t.dropoff_locationid = z.locationid AND z.borough <> 'Unknown'
+    JOIN dim_zones p
+      ON CAST(t.pickup_locationid AS DOUBLE) = p.locationid AND p.borough <> 'Unknown'
+    JOIN dim_zones z
+      ON CAST(t.dropoff_locationid AS DOUBLE) = z.locationid AND z.borough <> 'Unknown'
 )"""
 
 _REVENUE = f"""{_BASE}
@@ -205,9 +212,10 @@ SELECT service AS service_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
 FROM trips WHERE service IN ('green', 'yellow')
 """
 
+_FILE_MONTH = "strftime(coalesce(pickup_datetime, dropoff_datetime), '%Y-%m')"
 _LANDED = f"""{_FHV_ROWS},
-       CAST(year(pickup_datetime) AS INTEGER) AS year,
-       CAST(month(pickup_datetime) AS INTEGER) AS month
+       CAST(year(coalesce(pickup_datetime, dropoff_datetime)) AS INTEGER) AS year,
+       CAST(month(coalesce(pickup_datetime, dropoff_datetime)) AS INTEGER) AS month
 FROM trips WHERE service = 'fhv'
 """
 
@@ -240,8 +248,8 @@ def _report() -> str:
             severity = "error" if (feed, role) == ("green", "dropoff") else "warn"
             checks.append(_check(
                 model, f"{role}_locationid", "relationships", severity,
-                f"SELECT count(*) FROM {table} WHERE {role}_locationid NOT IN "
-                """(SELECT "LocationID" FROM zones WHERE "Borough" <> 'ASIA')""",
+                f"SELECT count(*) FROM {table} WHERE CAST({role}_locationid AS DOUBLE) NOT IN "
+                """(SELECT "LocationID" FROM zones WHERE "Borough" <> 'Unknown')""",
             ))
         if feed != "fhv":
             checks.append(_check(
@@ -259,7 +267,7 @@ ORACLES: dict[str, str] = {
     "stg_fhv": f"{_BASE}, {_FHV} SELECT * FROM stg_fhv",
     "dim_zones": f"{_BASE}, {_DIM} SELECT * FROM dim_zones",
     "seed_table": f"""{_BASE}, {_DIM}
-        SELECT CAST(locationid AS DOUBLE) AS locationid, borough, zone, service_zone
+        SELECT {_numeric("locationid")} AS locationid, borough, zone, service_zone
         FROM dim_zones""",
     "fact_trips": f"{_STAGED}, {_DIM}, {_FACT_TRIPS} SELECT * FROM fact_trips",
     "fact_fhv_trips": f"{_STAGED}, {_DIM}, {_FACT_FHV} SELECT * FROM fact_fhv_trips",
@@ -309,8 +317,11 @@ ORACLES: dict[str, str] = {
           AND CAST(pickup_datetime AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'""",
     "longest_trips": f"""{_BASE}
         SELECT strftime(pickup_datetime, '%Y-%m-%d') AS pickup_date,
-               date_diff('second', pickup_datetime, dropoff_datetime) AS duration_seconds
-        FROM trips ORDER BY 2 DESC NULLS LAST, 1 LIMIT 10""",
+               printf('INTERVAL ''%d %02d:%02d:%02d'' DAY TO SECOND', s // 86400, s // 3600 % 24,
+                      s // 60 % 60, s % 60) AS time_diff,
+               s AS duration_seconds
+        FROM (SELECT *, date_diff('second', pickup_datetime, dropoff_datetime) AS s FROM trips)
+        ORDER BY s DESC NULLS LAST, 1 LIMIT 10""",
     "busiest_bases": f"""{_BASE}
         SELECT dispatching_base_num, count(*) AS trips FROM trips
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
@@ -365,11 +376,16 @@ ORACLES: dict[str, str] = {
         "green", "lpep", ", CAST(NULL AS DOUBLE) AS ehail_fee, trip_type"
     ),
     "csv_to_parquet": f"{_FHV_ROWS} FROM trips WHERE service = 'fhv'",
-    "csv_row_index": f"""{_BASE}
-        SELECT count(*) AS n, CAST(0 AS BIGINT) AS first_index, count(*) - 1 AS last_index,
-               count(*) AS indexes, count(pickup_datetime) AS pickups,
-               CAST(sum("PULocationID") AS BIGINT) AS pickup_zone_total
-        FROM trips WHERE service = 'fhv'""",
+    "csv_row_index": """
+        SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                  l_quantity) - 1 AS row_index,
+               l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+        FROM lineitem""",
+    "csv_reordered_header": f"{_FHV_ROWS} FROM trips WHERE service = 'fhv'",
+    "csv_pieces": f"{_FHV_ROWS} FROM trips WHERE service = 'fhv'",
+    "csv_dirty_values": """
+        SELECT CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS l_linenumber, count(*) AS n
+        FROM lineitem GROUP BY 1""",
     "inferred_columns": f"""{_BASE}
         SELECT CAST(0 AS INTEGER) AS position, 'hvfhs_license_num' AS column_name,
                CASE WHEN count(TRY_CAST(hvfhs_license_num AS DOUBLE)) = 0
@@ -406,12 +422,19 @@ ORACLES: dict[str, str] = {
         SELECT 'dropoff', count(*) FROM trips
         WHERE service IN ('green', 'yellow')
           AND date_trunc('month', pickup_datetime) <> date_trunc('month', dropoff_datetime)""",
-    "month_templated_scan": f"""{_FHV_ROWS}, strftime(pickup_datetime, '%Y-%m') AS file_month
+    "month_templated_scan": f"""{_FHV_ROWS}, {_FILE_MONTH} AS file_month
         FROM trips WHERE service = 'fhv'""",
     "backfill_twice": _LANDED,
+    "backfill_corrected_month": f"""{_LANDED} AND {_FILE_MONTH} <> '1996-03'
+        AND ({_FILE_MONTH} <> '1996-04' OR "PULocationID" % 2 = 0)""",
+    "year_folder_scan": f"""{_BASE}
+        SELECT "VendorID", pickup_datetime AS lpep_pickup_datetime,
+               CAST(total_amount AS DOUBLE) AS total_amount,
+               strftime(pickup_datetime, '%Y-%m') AS file_month
+        FROM trips WHERE service = 'green' AND year(pickup_datetime) = 1996""",
     "incremental_landing": _LANDED,
     "ingest_audit": f"""{_BASE}
-        SELECT strftime(pickup_datetime, '%Y-%m') AS month_name, count(*) AS expected_rows,
+        SELECT {_FILE_MONTH} AS month_name, count(*) AS expected_rows,
                count(*) AS loaded_rows, CAST(100.0 AS DOUBLE) AS percent_done
         FROM trips WHERE service = 'fhv' GROUP BY 1""",
     "write_if_absent": _FHV_STORED,

@@ -34,7 +34,8 @@ RUNTIME_SETTINGS = {
 # Without the call-site capture of each column function, plans are built several times faster.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-_known_bytes: dict[tuple[str, str], int] = {}
+# What ``prepare`` has set, by application and key: anything else was set by the user, and stays.
+_own_settings: dict[tuple[str, str], str] = {}
 _local_scratch: dict[str, str] = {}
 
 
@@ -51,6 +52,8 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
 def prepare(spark: SparkSession, paths: list[str] | None = None) -> SparkSession:
     """Apply the runtime settings; with ``paths``, size scans and shuffles for those inputs.
 
+    A setting that the user has set in this session stays as it is.
+
     Shuffles never start with fewer partitions than the session asks for: adaptive execution
     merges small partitions later, but cannot refine a shuffle that began too coarse.
     """
@@ -65,9 +68,14 @@ def prepare(spark: SparkSession, paths: list[str] | None = None) -> SparkSession
         settings["spark.sql.files.maxPartitionBytes"] = str(
             max(SCAN_BYTES, math.ceil(size / MAX_SCAN_TASKS))
         )
+    application = spark.sparkContext.applicationId
+    given = spark.conf.getAll
     for key, value in settings.items():
-        if spark.conf.get(key, None) != value:
+        if key in given and given[key] not in (value, _own_settings.get((application, key))):
+            continue
+        if given.get(key) != value:
             spark.conf.set(key, value)
+        _own_settings[application, key] = value
     return spark
 
 
@@ -77,12 +85,9 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def _path_bytes(spark: SparkSession, path: str) -> int:
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _known_bytes:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = location.getFileSystem(spark._jsc.hadoopConfiguration())
-        _known_bytes[key] = system.getContentSummary(location).getLength()
-    return _known_bytes[key]
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(location).getLength()
 
 
 def files_for(total_bytes: int, at_least: int) -> int:

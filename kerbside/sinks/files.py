@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.fixed_values import DEFAULT_FILES
 from kerbside.operators.quality import observed_rows
-from kerbside.session import scratch_path
-from kerbside.sources.csv import add_row_index, read_csv, read_csv_inferred, read_csv_override
-
-SINGLE_FILE_ROWS = 1_000_000
+from kerbside.sources.csv import (
+    add_row_index, read_csv, read_csv_inferred, read_csv_override, read_csv_strings,
+)
 
 
 def write_repartitioned(df: DataFrame, path: str, files: int = DEFAULT_FILES) -> None:
@@ -18,22 +17,38 @@ def write_repartitioned(df: DataFrame, path: str, files: int = DEFAULT_FILES) ->
     df.repartition(files).write.parquet(path)
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One file for a report-sized result, replacing what was there.
+def write_single_file(df: DataFrame, path: str) -> None:
+    """One file, always, replacing what was there; for reports.
 
-    The result is computed in parallel first. One task then copies it, but only if it is small;
-    a larger one keeps its several files, so no task ever carries a big table.
+    The result is computed in parallel, and one task writes it down: the caller asks for one file,
+    and for a large table should ask for several (``write_repartitioned``).
     """
-    spark = df.sparkSession
-    parts = scratch_path(spark, "single-file")
-    df.write.parquet(parts)
-    written = spark.read.schema(df.schema).parquet(parts)
-    small = written.count() <= max_rows
-    (written.coalesce(1) if small else written).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def write_if_absent(df: DataFrame, path: str) -> None:
-    df.write.mode("ignore").parquet(path)
+    """Write unless a finished result is there; what a failed write left is replaced."""
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder, making the folders above its new place."""
+    places = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = places[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(places[1].getParent())
+    if not system.rename(*places):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -48,8 +63,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def index_csv(spark: SparkSession, source: str, path: str, index: str = "row_index") -> None:
-    """Copy a CSV with a leading row number counted from 0."""
-    write_csv(add_row_index(read_csv_inferred(spark, source), index), path)
+    """Copy a CSV with a leading row number counted from 0; values are copied as text."""
+    write_csv(add_row_index(read_csv_strings(spark, source), index), path)
 
 
 def csv_to_parquet(
@@ -58,14 +73,18 @@ def csv_to_parquet(
     path: str,
     schema: str | None = None,
     overrides: dict[str, str] | None = None,
+    strict: bool = True,
 ) -> DataFrame:
-    """Convert one CSV; other extensions are refused."""
+    """Convert one CSV; other extensions are refused.
+
+    A value that does not parse fails the job, unless ``strict`` is off and it becomes NULL.
+    """
     if not source.endswith(".csv"):
         raise ValueError(f"not a CSV file: {source}")
     if schema is not None:
-        frame = read_csv(spark, source, schema)
+        frame = read_csv(spark, source, schema, strict)
     elif overrides:
-        frame = read_csv_override(spark, source, overrides)
+        frame = read_csv_override(spark, source, overrides, strict)
     else:
         frame = read_csv_inferred(spark, source)
     frame.write.parquet(path)
@@ -96,7 +115,10 @@ def with_year_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
 
 
+def is_misplaced(ts: str) -> Column:
+    """Whether a timestamp disagrees with the ``year`` and ``month`` its row is stored under."""
+    return ~(F.col("year").eqNullSafe(F.year(ts)) & F.col("month").eqNullSafe(F.month(ts)))
+
+
 def misplaced_rows(df: DataFrame, ts: str) -> DataFrame:
-    """Rows whose timestamp disagrees with the ``year`` and ``month`` they are stored under."""
-    at_home = F.col("year").eqNullSafe(F.year(ts)) & F.col("month").eqNullSafe(F.month(ts))
-    return df.filter(~at_home)
+    return df.filter(is_misplaced(ts))

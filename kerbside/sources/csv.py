@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import accumulate
+from urllib.parse import unquote
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,13 +44,61 @@ def read_csv(
     strict: bool = False,
     na_values: list[str] | None = None,
 ) -> DataFrame:
-    """Headered CSV with a declared schema.
+    """Headered CSV with a declared schema, whose columns are found by name in each file's header.
 
-    ``strict`` fails the job on a value that does not parse; otherwise it becomes NULL.
+    Files may differ in the order of their columns and have others besides; a declared column that
+    a header lacks is an error. Names match in any case. ``strict`` fails the job on a value that
+    does not parse; otherwise it becomes NULL.
     """
-    reader = spark.read.schema(schema).option("header", True)
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    wanted = {f.name.lower(): f for f in declared}
+    reader = spark.read.option("header", True)
     reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    return _with_na(reader.csv(paths), na_values)
+    frames = []
+    for header, files in files_by_header(spark, paths).items():
+        missing = wanted.keys() - {name.lower() for name in header}
+        if header and missing:
+            raise ValueError(f"no column {sorted(missing)} in {files[0]}")
+        fields = [wanted.get(n.lower(), T.StructField(n, T.StringType())) for n in header]
+        frames.append((T.StructType(fields) if header else declared, files))
+    if len(frames) == 1:
+        scan = reader.schema(frames[0][0]).csv(paths)
+        if scan.columns[: len(declared)] == declared.names:
+            return _with_na(scan, na_values)
+        return _with_na(scan.select(*declared.names), na_values)
+    scans = [reader.schema(own).csv(files).select(*declared.names) for own, files in frames]
+    return _with_na(reduce(DataFrame.unionAll, scans), na_values)
+
+
+def files_by_header(spark: SparkSession, paths: Paths) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``paths`` by their column names; reads one line of each."""
+    files = [unquote(f) for f in spark.read.text(paths).inputFiles()]
+    if not files:
+        return {(): paths if isinstance(paths, list) else [paths]}
+    with ThreadPoolExecutor(min(16, len(files))) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line is not None:  # an empty file has no rows either
+            found.setdefault(tuple(next(csv.reader([line]), [])), []).append(file)
+    return found or {(): files}
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    jvm = spark._jvm
+    location = jvm.org.apache.hadoop.fs.Path(file)
+    stream = location.getFileSystem(spark._jsc.hadoopConfiguration()).open(location)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    ).getCodec(location)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        codec.createInputStream(stream) if codec else stream, "UTF-8"
+    ))
+    try:
+        line = reader.readLine()
+        return line.removeprefix("\ufeff") if line is not None else None
+    finally:
+        reader.close()
 
 
 def read_csv_inferred(
@@ -69,10 +123,14 @@ def sampled_schema(
 
 
 def read_csv_sampled(
-    spark: SparkSession, path: str, rows: int = INFER_SAMPLE_ROWS
+    spark: SparkSession, path: str, rows: int = INFER_SAMPLE_ROWS, strict: bool = True
 ) -> DataFrame:
-    """Infer from a sample, then scan everything with the result as declared schema."""
-    return read_csv(spark, path, sampled_schema(spark, path, rows))
+    """Infer from a sample, then scan everything with the result as declared schema.
+
+    A later value that the sampled type cannot hold fails the job, unless ``strict`` is off and it
+    becomes NULL.
+    """
+    return read_csv(spark, path, sampled_schema(spark, path, rows), strict)
 
 
 def override_types(schema: T.StructType, overrides: dict[str, str]) -> T.StructType:
@@ -90,10 +148,11 @@ def override_types(schema: T.StructType, overrides: dict[str, str]) -> T.StructT
 
 
 def read_csv_override(
-    spark: SparkSession, paths: Paths, overrides: dict[str, str]
+    spark: SparkSession, paths: Paths, overrides: dict[str, str], strict: bool = True
 ) -> DataFrame:
     """Inferred types, except for the named columns (a column with no value has none to infer)."""
-    return read_csv(spark, paths, override_types(read_csv_inferred(spark, paths).schema, overrides))
+    schema = override_types(read_csv_inferred(spark, paths).schema, overrides)
+    return read_csv(spark, paths, schema, strict)
 
 
 def set_piece_bytes(spark: SparkSession, size: int) -> None:
@@ -104,9 +163,10 @@ def set_piece_bytes(spark: SparkSession, size: int) -> None:
 def add_row_index(scan: DataFrame, name: str = "row_index") -> DataFrame:
     """Number the rows of a file scan from 0, in file order (by path, then by position).
 
-    No sort and no pass through one task: a row's number is its position in its file block plus
-    the rows in the blocks before. Only the block counts, one row per scan block, are ordered
-    globally. ``scan`` must come straight from a file reader.
+    No sort of rows and no pass through one task: a row's number is its position in its file block
+    plus the rows in the blocks before. Block counts, one row per scan block, are summed up in
+    ranges first; of the ranges, one number each reaches the driver. ``scan`` must come straight
+    from a file reader.
     """
     spark = scan.sparkSession
     located = _pinned(
@@ -121,10 +181,26 @@ def add_row_index(scan: DataFrame, name: str = "row_index") -> DataFrame:
     blocks = located.groupBy("__path", "__start").agg(
         F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
-    before = Window.orderBy("__path", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")
+    ranged = _pinned(
+        blocks.repartitionByRange("__path", "__start")
+        .withColumn("__range", F.spark_partition_id()),
+        scratch_path(spark, "blocks"),
+    )
+    totals = sorted(ranged.groupBy("__range").agg(F.sum("__rows")).collect())
+    ends = accumulate((rows for _, rows in totals), initial=0)
+    base = spark.createDataFrame(
+        [(r, end) for (r, _), end in zip(totals, ends)], "__range int, __base bigint"
+    )
+    before = Window.partitionBy("__range").orderBy("__path", "__start").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    within = F.coalesce(F.sum("__rows").over(before), F.lit(0))
     offsets = _pinned(
-        blocks.select("__path", "__start", shift.alias("__shift")), scratch_path(spark, "offsets")
+        ranged.withColumn("__within", within).join(F.broadcast(base), "__range").select(
+            "__path", "__start",
+            (F.col("__base") + F.col("__within") - F.col("__first")).alias("__shift"),
+        ),
+        scratch_path(spark, "offsets"),
     )
     numbered = located.join(offsets, ["__path", "__start"])
     return numbered.select(

@@ -37,11 +37,10 @@ def range_options(column: str | None, bounds: tuple | None, partitions: int | No
 
 
 def month_predicates(column: str, months: list[str]) -> list[str]:
-    """One WHERE clause per month, for a read with one task per month."""
-    edges = [*months, _after(months[-1])]
+    """One WHERE clause per month, for a read with one task per month; months in any order."""
     return [
-        f"{column} >= TIMESTAMP '{a}-01 00:00:00' AND {column} < TIMESTAMP '{b}-01 00:00:00'"
-        for a, b in zip(edges, edges[1:])
+        f"{column} >= TIMESTAMP '{m}-01 00:00:00' AND {column} < TIMESTAMP '{_after(m)}-01 00:00:00'"
+        for m in months
     ]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.fixed_values import RAW_FILE_TEMPLATE
+from kerbside.fixed_values import LAKE_FILE_TEMPLATE, RAW_FILE_TEMPLATE
 from kerbside.sources.csv import read_csv
 
 
@@ -52,6 +52,17 @@ def read_months(
     return with_file_month(scan, template)
 
 
+def read_month_files(
+    spark: SparkSession, root: str, service: str, months: list[str],
+    template: str = LAKE_FILE_TEMPLATE,
+) -> DataFrame:
+    """Month-named Parquet in plain folders by service and year, all months in one scan.
+
+    Only the files of the given months are opened; ``file_month`` comes from each row's file path.
+    """
+    return with_file_month(spark.read.parquet(*month_paths(root, service, months, template)), template)
+
+
 def with_file_month(scan: DataFrame, template: str = RAW_FILE_TEMPLATE) -> DataFrame:
     """Add the month at the template's place in the path of the file a row was read from."""
     part = next(p for p in reversed(template.split("/")) if "{month}" in p)

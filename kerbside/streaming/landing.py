@@ -17,15 +17,21 @@ def land_new_files(
     checkpoint: str,
     template: str = RAW_FILE_TEMPLATE,
     files_per_batch: int = 1000,
+    strict: bool = True,
 ) -> None:
     """Append the rows of unseen CSV files to ``dest``, by file month.
 
     The checkpoint remembers the files taken, so a run without new files adds nothing and a run
-    that died is resumed. Stateless: no watermark is needed.
+    that died is resumed. Stateless: no watermark is needed. A value that does not parse, or a
+    header that is not the declared schema, fails the run; with ``strict`` off, values become NULL.
+    A batch adds a file for each task and month; run ``ingest_months`` over months that are
+    complete to gather them into few files.
     """
     arriving = (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(source)
