@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from kerbside.llm import gru
 from kerbside.llm.common import saved
 
 # Bounds of what is broadcast: the most frequent words, and the classes and slots of the network.
-HEAD_WORDS = 262_144
+HEAD_WORDS = 131_072
 CLASSES = 128
 SLOTS = 64
 SUFFIX = 2  # words are classed by so many last characters
@@ -67,8 +68,8 @@ class Vocabulary:
     """
 
     def __init__(
-        self, head: list[tuple[bytes, int]], suffix_mass: dict[str, float], other_mass: float,
-        ends: int, counted: float,
+        self, words: list[bytes], counts: np.ndarray, suffix_mass: dict[str, float],
+        other_mass: float, ends: int, counted: float,
     ):
         """``suffix_mass``: (count + 0.5) of all words by suffix, ``other_mass`` that of the rest."""
         self.class_of_suffix = {s: k + 2 for k, s in enumerate(suffix_mass)}
@@ -77,11 +78,11 @@ class Vocabulary:
         rest = np.zeros(CLASSES)
         rest[1:len(suffix_mass) + 2] = [other_mass, *suffix_mass.values()]
         used = [0] * CLASSES
-        symbols = {}
-        for word, n in head:
+        symbols = np.zeros(len(words), np.int32)
+        for k, (word, n) in enumerate(zip(words, counts.tolist())):
             c = self.class_of(word)
             slot = min(used[c], SLOTS - 1)
-            symbols[word] = c * SLOTS + slot
+            symbols[k] = c * SLOTS + slot
             if slot < SLOTS - 1:
                 self.slot_mass[c, slot] = n
                 rest[c] -= n + 0.5
@@ -90,14 +91,21 @@ class Vocabulary:
         self.slot_mass[1:, SLOTS - 1] = rest[1:]
         self.rest_log = np.log10(np.maximum(rest, 0.5))
         # What each head word adds to the two scores, besides the network's part.
-        self.entries = {
-            word: (
-                symbols[word], math.log10((n + 0.5) / counted),
-                math.log10(n + 0.5) - self.rest_log[symbols[word] // SLOTS]
-                if symbols[word] % SLOTS == SLOTS - 1 else 0.0,
-            )
-            for word, n in head
-        }
+        logs = np.log10(counts + 0.5)
+        slotless = symbols % SLOTS == SLOTS - 1
+        self.columns = (
+            words, symbols, logs - math.log10(counted),
+            np.where(slotless, logs - self.rest_log[symbols // SLOTS], 0.0),
+        )
+
+    @cached_property
+    def entries(self) -> dict[bytes, tuple[int, float, float]]:
+        """Made where it is used, once for each broadcast: the columns travel in less space."""
+        words, *columns = self.columns
+        return dict(zip(words, zip(*(c.tolist() for c in columns))))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "entries"}
 
     def class_of(self, word: bytes) -> int:
         return self.class_of_suffix.get(word.decode()[-SUFFIX:], 1)
@@ -110,6 +118,24 @@ class Vocabulary:
         return np.array([*map(self.symbol, tokens_of(text)), 0], np.int32)
 
 
+def head_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """At most ``HEAD_WORDS`` words and their counts, by falling count: all above some count.
+
+    A histogram of the counts' logarithms, of bounded size, tells above which.
+    """
+    step = F.floor(F.log2("n") * 32).cast("int")
+    above, least = 0, 2**31 - 1
+    for bucket, n in sorted(counts.groupBy(step).count().collect(), reverse=True):
+        above += n
+        if above > HEAD_WORDS:
+            break
+        least = bucket
+    head = counts.where(step >= least).toArrow()
+    n, words = np.asarray(head["n"]), head["word"].to_pylist()
+    order = sorted(range(len(words)), key=lambda k: (-n[k], words[k]))
+    return [words[k] for k in order], n[order].astype(np.int64)
+
+
 def suffix_of(word: Column) -> Column:
     return F.right(word.cast("string"), F.lit(SUFFIX))
 
@@ -131,11 +157,9 @@ def fit(docs: DataFrame) -> dict:
     ).orderBy(F.desc("n"), "suffix").limit(CLASSES - 2)
     suffix_mass = {r["suffix"]: r["mass"] for r in masses.collect()}
     other_mass = (totals[1] or 0) + 0.5 * totals[0] - sum(suffix_mass.values())
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()
     counted = total + 0.5 * (distinct + 1)
-    vocabulary = Vocabulary(
-        [(bytes(r["word"]), r["n"]) for r in head], suffix_mass, other_mass, ends, counted
-    )
+    words, head = head_words(counts)
+    vocabulary = Vocabulary(words, head, suffix_mass, other_mass, ends, counted)
     params = gru.initial(vocabulary.slot_mass.sum(axis=1), vocabulary.slot_mass)
     model = {"vocabulary": vocabulary, "params": params, "counts": counts,
              "train_tokens": total, "counted": counted, "ends": ends}
