@@ -12,6 +12,7 @@ HIDDEN = 16
 TRAIN_LANES = 128
 TRAIN_STEPS = 16  # backpropagation is truncated to so many steps; the state goes on
 SCORE_STEPS = 32
+SCORE_ROWS = 100_000  # states whose outputs are computed together
 RATE = 0.08
 CLIP = 1.0
 
@@ -59,15 +60,21 @@ def _by_class(cls: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return list(zip(names.tolist(), np.split(order, begin[1:])))
 
 
+def _picked(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Log softmax of one column in each row; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), column]
+    np.exp(x, out=x)
+    return chosen - np.log(x.sum(axis=1))
+
+
 def log_likelihood(p: Params, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol, given the state before it."""
     slots = p["slot_b"].shape[1]
     cls, slot = symbols // slots, symbols % slots
-    rows = np.arange(len(symbols))
-    out = _log_softmax(h @ p["class_w"] + p["class_b"])[rows, cls]
+    out = _picked(h @ p["class_w"] + p["class_b"], cls)
     for c, own in _by_class(cls):
-        within = _log_softmax(h[own] @ p["slot_w"][c].T + p["slot_b"][c])
-        out[own] += within[np.arange(len(own)), slot[own]]
+        out[own] += _picked(h[own] @ p["slot_w"][c].T + p["slot_b"][c], slot[own])
     return out
 
 
@@ -79,22 +86,25 @@ def score(p: Params, docs: list[np.ndarray], lanes: int = 4096) -> np.ndarray:
         own = order[at:at + lanes]
         sizes = np.array([len(docs[k]) for k in own])
         h = np.zeros((len(own), HIDDEN), np.float32)
+        states, seen, lane_of, held = [], [], [], 0
         for start in range(0, int(sizes[0]), SCORE_STEPS):
             live = int(np.searchsorted(-sizes, -start, side="left"))
             grid = np.zeros((live, SCORE_STEPS), np.int32)
             for lane in range(live):
                 part = docs[own[lane]][start:start + SCORE_STEPS]
                 grid[lane, :len(part)] = part
-            states, seen, lane_of = [], [], []
             for step in range(min(SCORE_STEPS, int(sizes[0]) - start)):
                 n = int(np.searchsorted(-sizes[:live], -(start + step), side="left"))
                 symbols = grid[:n, step]
                 states.append(h[:n])
                 seen.append(symbols)
                 lane_of.append(own[:n])
+                held += n
                 h, _ = _step(p, symbols, h[:n])
-            logs = log_likelihood(p, np.concatenate(states), np.concatenate(seen))
-            total += np.bincount(np.concatenate(lane_of), logs, minlength=len(docs))
+            if held >= SCORE_ROWS or start + SCORE_STEPS >= sizes[0]:
+                logs = log_likelihood(p, np.concatenate(states), np.concatenate(seen))
+                total += np.bincount(np.concatenate(lane_of), logs, minlength=len(docs))
+                states, seen, lane_of, held = [], [], [], 0
     return total
 
 

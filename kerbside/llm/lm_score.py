@@ -17,14 +17,14 @@ from kerbside.llm.common import saved
 
 # Bounds of what is broadcast: the most frequent words, and the classes and slots of the network.
 HEAD_WORDS = 131_072
-CLASSES = 128
-SLOTS = 64
+CLASSES = 64
+SLOTS = 32
 SUFFIX = 2  # words are classed by so many last characters
 # Gradient steps look at this share of the training documents each round, whole; all counts, and so
 # the unigram parts of the model, come from all of them.
 ROUNDS = 2
-ROUND_SHARE = 12
-LEAST_UPDATES = 250
+ROUND_SHARE = 24
+LEAST_UPDATES = 120
 COUNTED_WORDS = 500_000  # words a task counts before it hands them on
 SCORED_TOKENS = 2_000_000  # tokens scored side by side
 PARAM_BLOCK = 65_536
@@ -61,6 +61,13 @@ def _counted(seen: Counter) -> pa.RecordBatch:
     )
 
 
+class _Places(dict):
+    """Places of words; -1, the last, for others, which are not remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Vocabulary:
     """From words to symbols. Class 0 is the end token, 1 the words of rare suffixes.
 
@@ -93,29 +100,36 @@ class Vocabulary:
         # What each head word adds to the two scores, besides the network's part.
         logs = np.log10(counts + 0.5)
         slotless = symbols % SLOTS == SLOTS - 1
-        self.columns = (
-            words, symbols, logs - math.log10(counted),
-            np.where(slotless, logs - self.rest_log[symbols // SLOTS], 0.0),
+        # The last entries are those of a word that is not in the head.
+        self.words = words
+        self.symbol_of = np.append(symbols, -1).astype(np.int32)
+        self.base_of = np.append(logs - math.log10(counted), 0.0)
+        self.extra_of = np.append(
+            np.where(slotless, logs - self.rest_log[symbols // SLOTS], 0.0), 0.0
         )
 
     @cached_property
-    def entries(self) -> dict[bytes, tuple[int, float, float]]:
-        """Made where it is used, once for each broadcast: the columns travel in less space."""
-        words, *columns = self.columns
-        return dict(zip(words, zip(*(c.tolist() for c in columns))))
+    def places(self) -> _Places:
+        """Made where it is used, once for each broadcast: a list travels in less space."""
+        return _Places(zip(self.words, range(len(self.words))))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "entries"}
+        return {k: v for k, v in self.__dict__.items() if k != "places"}
 
     def class_of(self, word: bytes) -> int:
         return self.class_of_suffix.get(word.decode()[-SUFFIX:], 1)
 
-    def symbol(self, word: bytes) -> int:
-        entry = self.entries.get(word)
-        return entry[0] if entry else self.class_of(word) * SLOTS + SLOTS - 1
-
-    def symbols(self, text: str | None) -> np.ndarray:
-        return np.array([*map(self.symbol, tokens_of(text)), 0], np.int32)
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, float, float, list[bytes]]:
+        """Symbols with the end token, what the words add to either score besides the network's
+        part, and the words not in the head."""
+        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        symbols = np.append(self.symbol_of[places], np.int32(0))
+        rare = np.flatnonzero(places < 0)
+        unknown = [words[k] for k in rare.tolist()]
+        classes = np.fromiter(map(self.class_of, unknown), np.int64, len(unknown))
+        symbols[rare] = classes * SLOTS + SLOTS - 1
+        extra = self.extra_of[places].sum() - self.rest_log[classes].sum()
+        return symbols, self.base_of[places].sum(), extra, unknown
 
 
 def head_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
@@ -175,7 +189,9 @@ def _round(docs: DataFrame, model: dict, number: int) -> gru.Params:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = shared.value
-        texts = [vocabulary.symbols(t.as_py()) for batch in batches for t in batch.column(0)]
+        texts = [
+            vocabulary.look_up(tokens_of(t.as_py()))[0] for batch in batches for t in batch.column(0)
+        ]
         if texts:
             flat = _flat(gru.train(start, texts, LEAST_UPDATES))
             weight = float(sum(map(len, texts)))
@@ -242,7 +258,9 @@ def score_documents(docs: DataFrame, model: dict) -> DataFrame:
         for batch in batches:
             for k in range(len(batch)):
                 words = tokens_of(batch.column(1)[k].as_py())
-                held.append((batch.column(0)[k].as_py(), *_look_up(words, vocabulary)))
+                symbols, base, extra, rare = vocabulary.look_up(words)
+                known = len(words) - len(rare)
+                held.append((batch.column(0)[k].as_py(), symbols, base, extra, known, Counter(rare)))
                 size += len(words) + 1
                 if size > SCORED_TOKENS:
                     yield rows(held, params)
@@ -294,23 +312,3 @@ def score_documents(docs: DataFrame, model: dict) -> DataFrame:
         (F.col("base") + logs).alias("base_score"), (F.col("score") + logs).alias("score"),
     )
 
-
-def _look_up(words: list[bytes], vocabulary: Vocabulary) -> tuple:
-    """Symbols, what head words add to either score, known words, and the words not in the head."""
-    symbols = np.empty(len(words) + 1, np.int32)
-    symbols[-1] = 0
-    base = extra = 0.0
-    rare: Counter = Counter()
-    entries = vocabulary.entries
-    for k, word in enumerate(words):
-        entry = entries.get(word)
-        if entry is None:
-            c = vocabulary.class_of(word)
-            symbols[k] = c * SLOTS + SLOTS - 1
-            extra -= vocabulary.rest_log[c]
-            rare[word] += 1
-        else:
-            symbols[k] = entry[0]
-            base += entry[1]
-            extra += entry[2]
-    return symbols, base, extra, len(words) - sum(rare.values()), rare
