@@ -128,6 +128,14 @@ def test_base_encoding(spark):
     assert dict(map(tuple, batched)) == BASES
 
 
+def test_base_encoding_of_unusual_text(spark):
+    texts = ["B 12", "B12 ", "B+7", "B-21", "B9223372036854775807", "B9223372036854775808", "B", "",
+             "B1.0", "B 1 2", "B-9223372036854775808", "Bx", None]
+    df = spark.createDataFrame([(t,) for t in texts], "b string")
+    for row in df.select("b", fn.encode_base(F.col("b")), fn.encode_base_pandas()(F.col("b"))).collect():
+        assert row[1] == row[2], row
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(0, 10**9), min_size=1, max_size=40))
 def test_base_encoding_both_forms_agree(spark, numbers):

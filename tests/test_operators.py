@@ -113,6 +113,13 @@ def test_sums_of_cents_do_not_depend_on_order(spark, cents):
         assert df.agg(aggregates.exact_sum(df, "v")).first()[0] == sum(cents) / 100
 
 
+def test_sums_of_infinite_and_very_large_values(spark):
+    for values in ([1.0, math.inf], [1e305], [1e305, -1e305, 2.5], [None], [None, 1.5], [-math.inf]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        got = df.agg(aggregates.exact_sum(df, "v"), F.sum("v")).first()
+        assert got[0] == got[1]
+
+
 def test_sums_keep_finer_values(spark):
     values = [0.00001, 0.123456, -7.000004, 1e12, 2.5e-9]
     df = spark.createDataFrame([(v,) for v in values], "v double")

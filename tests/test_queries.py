@@ -6,10 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import differences
+from kerbside.registry.oracles import ORACLES
+from kerbside.registry.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 # Queries whose joins Spark would all broadcast at this size.
 JOINING = [
@@ -20,6 +20,8 @@ JOINING = [
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert ORACLES.keys() <= entry_module.oracle_sql().keys()
 
 
 def test_entry_is_the_flagship(spark):

@@ -62,8 +62,64 @@ def test_inferred_sampled_and_overridden_types(spark, zones_csv, tmp_path):
     late.write_text("v,w\n" + "1,a\n" * 5 + "x,b\n")
     assert csv.sampled_schema(spark, str(late), rows=5).simpleString() == "struct<v:int,w:string>"
     assert csv.sampled_schema(spark, str(late), rows=6).simpleString() == "struct<v:string,w:string>"
-    got = [r.v for r in csv.read_csv_sampled(spark, str(late), rows=5).collect()]
-    assert got == [1] * 5 + [None]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        csv.read_csv_sampled(spark, str(late), rows=5).collect()
+    lenient = csv.read_csv_sampled(spark, str(late), rows=5, strict=False)
+    assert [r.v for r in lenient.collect()] == [1] * 5 + [None]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        csv.read_csv_override(spark, str(late), {"v": "int"}).collect()
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        files.csv_to_parquet(spark, str(late), str(tmp_path / "p1"), schema="v int, w string")
+    kept = files.csv_to_parquet(
+        spark, str(late), str(tmp_path / "p2"), schema="v int, w string", strict=False
+    )
+    assert kept.filter("v IS NULL").count() == 1
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("fare,tip\n10,1\n")
+    (tmp_path / "b.csv").write_text("Tip,extra,FARE\n2,x,20\n")
+    (tmp_path / "c.csv").write_text("")
+    got = csv.read_csv(spark, str(tmp_path), "fare int, tip int", strict=True)
+    assert got.columns == ["fare", "tip"]
+    assert sorted(tuple(r) for r in got.collect()) == [(10, 1), (20, 2)]
+    with pytest.raises(ValueError, match="no column"):
+        csv.read_csv(spark, str(tmp_path), "fare int, toll int")
+
+
+def test_landing_stream_is_strict(spark, tmp_path):
+    fhv_file(tmp_path / "raw", "2021-01", 2)
+    (tmp_path / "raw" / "fhv_tripdata_2021-02.csv").write_text(f"{FHV_HEADER}\nB1,oops,,seven,2,\n")
+
+    def land(name, **options):
+        land_new_files(spark, str(tmp_path / "raw"), FHV_SCHEMA, str(tmp_path / name),
+                       str(tmp_path / f"{name}-state"), **options)
+
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        land("strict")
+    land("lenient", strict=False)
+    assert spark.read.parquet(str(tmp_path / "lenient")).filter("PULocationID IS NULL").count() == 1
+
+
+def test_an_emptied_month_is_cleared(spark, tmp_path):
+    raw, lake = tmp_path / "raw", str(tmp_path / "lake")
+    fhv_file(raw, "2021-01", 2)
+    fhv_file(raw, "2021-02", 3)
+    months = ["2021-01", "2021-02"]
+    assert ingest_months(spark, "fhv", months, str(raw), FHV_SCHEMA, lake) == 5
+    fhv_file(raw, "2021-01", 0)
+    assert ingest_months(spark, "fhv", ["2021-01"], str(raw), FHV_SCHEMA, lake) == 0
+    assert [tuple(r) for r in spark.read.parquet(lake).groupBy("month").count().collect()] == [(2, 3)]
+
+
+def test_month_named_parquet_in_year_folders(spark, tmp_path):
+    for month, n in (("2020-01", 2), ("2020-02", 3), ("2021-01", 4)):
+        path = monthly.month_path(LAKE_FILE_TEMPLATE, str(tmp_path), "green", month)
+        spark.range(n).coalesce(1).write.parquet(path)
+    got = monthly.read_month_files(spark, str(tmp_path), "green", ["2020-01", "2020-02"])
+    assert sorted(tuple(r) for r in got.groupBy("file_month").count().collect()) == [
+        ("2020-01", 2), ("2020-02", 3)
+    ]
 
 
 def test_declared_schema_strict_or_lenient(spark, tmp_path):
@@ -84,7 +140,6 @@ def test_pieces_of_a_file(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("v\n" + "".join(f"{i}\n" for i in range(20_000)))
     key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
     try:
         csv.set_piece_bytes(spark, 10_000)
         df = csv.read_csv(spark, str(path), "v int")
@@ -96,7 +151,7 @@ def test_pieces_of_a_file(spark, tmp_path):
         assert numbered.filter("row_index <> v").count() == 0
         assert numbered.count() == 20_000
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key)
 
 
 def test_row_index_runs_on_across_files(spark, tmp_path):
@@ -201,10 +256,12 @@ def test_parquet_writers(spark, tmp_path):
     for _ in range(2):
         files.write_single_file(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
-    # Too large for one task: written whole, in several files.
-    files.write_single_file(df.repartition(8), str(tmp_path / "large"), max_rows=10)
-    assert spark.read.parquet(str(tmp_path / "large")).count() == 100
-    assert len(list((tmp_path / "large").glob("*.parquet"))) > 1
+    large = spark.range(1_100_000)
+    files.write_single_file(large, str(tmp_path / "large"))
+    assert spark.read.parquet(str(tmp_path / "large")).count() == 1_100_000
+    assert len(list((tmp_path / "large").glob("*.parquet"))) == 1
+    with pytest.raises(Exception):
+        files.write_if_absent(df.select(F.raise_error(F.lit("no"))), str(tmp_path / "absent"))
     files.write_if_absent(df, str(tmp_path / "absent"))
     files.write_if_absent(df.limit(1), str(tmp_path / "absent"))
     assert spark.read.parquet(str(tmp_path / "absent")).count() == 100
@@ -259,6 +316,8 @@ def test_jdbc_options():
     assert jdbc.month_predicates("t", ["2019-12"]) == [
         "t >= TIMESTAMP '2019-12-01 00:00:00' AND t < TIMESTAMP '2020-01-01 00:00:00'"
     ]
+    march, january = jdbc.month_predicates("t", ["2021-03", "2021-01"])
+    assert "'2021-04-01" in march and "'2021-02-01" in january
     assert jdbc_sink.writer_properties({"user": "u"}, connections=2) == {
         "user": "u", "batchsize": "100000", "numPartitions": "2", "truncate": "false"
     }
@@ -267,7 +326,7 @@ def test_jdbc_options():
 def test_session_sizes(spark, monkeypatch):
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     scan = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(scan)
+    spark.conf.unset(scan)
 
     def sized(total):
         monkeypatch.setattr(session, "input_bytes", lambda *_: total)
@@ -282,11 +341,32 @@ def test_session_sizes(spark, monkeypatch):
         assert partitions == 20_000 and 100 * tera / piece <= 200_000
     finally:
         spark.conf.unset(initial)
-        spark.conf.set(scan, before)
+        spark.conf.unset(scan)
     assert session.files_for(0, 24) == 24
     assert session.files_for(100 * session.TARGET_FILE_BYTES, 24) == 100
 
 
+def test_settings_of_the_user_stay(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    try:
+        csv.set_piece_bytes(spark, 10_000)
+        session.prepare(spark, [])
+        session.prepare(spark, [str(Path(__file__).parent)])
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_a_replaced_file_shows_its_new_columns(spark, tmp_path):
+    from kerbside.sources.star_schema import table
+
+    for columns in (["id"], ["id", "more"]):
+        spark.range(2).select("id", F.lit(1).alias("more")).select(*columns).write.mode(
+            "overwrite").parquet(str(tmp_path / "t.parquet"))
+        spark.catalog.refreshByPath(str(tmp_path / "t.parquet"))
+        assert table(spark, str(tmp_path), "t").columns == columns
+
+
 def test_input_size(spark, tmp_path):
     (tmp_path / "part").mkdir()
     (tmp_path / "a").write_bytes(b"x" * 10)
