@@ -7,19 +7,20 @@ _BASE = """
 WITH zones AS (
     SELECT n_nationkey AS "LocationID",
            CASE WHEN n_nationkey >= 23 THEN 'Unknown' ELSE r_name END AS "Borough",
-           n_name AS "Zone",
+           CASE WHEN n_nationkey = 4 THEN 'NATION_3' ELSE n_name END AS "Zone",
            CASE WHEN n_nationkey % 2 = 0 THEN 'Boro Zone' ELSE 'Yellow Zone' END AS service_zone
     FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
 trips AS (
     SELECT CASE l_returnflag WHEN 'A' THEN 'green' WHEN 'R' THEN 'yellow' ELSE 'fhv' END AS service,
-           l_suppkey AS "VendorID",
+           nullif(l_suppkey, 8) AS "VendorID",
            'B' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS dispatching_base_num,
            'HV000' || CAST(l_linenumber AS VARCHAR) AS hvfhs_license_num,
-           o_orderdate AS pickup_datetime,
+           CASE WHEN l_returnflag <> 'N' OR l_orderkey % 97 <> 0 THEN o_orderdate
+           END AS pickup_datetime,
            l_shipdate AS dropoff_datetime,
            s_nationkey AS "PULocationID",
-           c_nationkey AS "DOLocationID",
+           CASE WHEN c_custkey % 53 = 0 THEN 99 ELSE c_nationkey END AS "DOLocationID",
            l_quantity AS passenger_count,
            l_quantity AS trip_distance,
            l_linenumber AS payment_type,
@@ -28,10 +29,11 @@ trips AS (
            CAST(l_extendedprice AS DECIMAL(18,2)) AS fare_amount,
            CAST(l_discount AS DECIMAL(18,2)) AS extra,
            CAST(0.50 AS DECIMAL(18,2)) AS mta_tax,
-           CAST(l_tax AS DECIMAL(18,2)) AS tip_amount,
+           CASE WHEN l_orderkey % 89 <> 0 THEN CAST(l_tax AS DECIMAL(18,2)) END AS tip_amount,
            CAST(0 AS DECIMAL(18,2)) AS tolls_amount,
            CAST(0.30 AS DECIMAL(18,2)) AS improvement_surcharge,
-           CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount,
+           CASE WHEN o_orderkey % 101 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2))
+           END AS total_amount,
            CAST(2.50 AS DECIMAL(18,2)) AS congestion_surcharge,
            l_linestatus AS store_and_fwd_flag,
            l_linestatus AS "SR_Flag"
@@ -59,7 +61,8 @@ def _numeric(column: str) -> str:
 def _staged_metered(name: str, service: str, trip_type: str) -> str:
     return f"""
 {name} AS (
-    SELECT md5(CAST("VendorID" AS VARCHAR) || '-' || CAST(pickup_datetime AS VARCHAR)) AS tripid,
+    SELECT md5(CAST("VendorID" AS VARCHAR) || '-'
+               || coalesce(CAST(pickup_datetime AS VARCHAR), '')) AS tripid,
            CAST("VendorID" AS INTEGER) AS vendorid,
            CAST("RatecodeID" AS INTEGER) AS ratecodeid,
            CAST("PULocationID" AS INTEGER) AS pickup_locationid,
@@ -93,7 +96,8 @@ _GREEN = _staged_metered("stg_green", "green", "trip_type")
 _YELLOW = _staged_metered("stg_yellow", "yellow", "CAST(1 AS INTEGER)")
 _FHV = f"""
 stg_fhv AS (
-    SELECT md5(dispatching_base_num || '-' || CAST(pickup_datetime AS VARCHAR)) AS tripid,
+    SELECT md5(dispatching_base_num || '-'
+               || coalesce(CAST(pickup_datetime AS VARCHAR), '')) AS tripid,
            dispatching_base_num,
            {_numeric('"PULocationID"')} AS pickup_locationid,
            {_numeric('"DOLocationID"')} AS dropoff_locationid,
