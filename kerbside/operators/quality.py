@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kerbside.operators.lookups import Lookup, key_as, orphan_keys
 
@@ -57,13 +56,80 @@ def check_model(
 ) -> DataFrame:
     """Failing rows per check, as (model, column, check, severity, failing_rows).
 
-    The model is evaluated once. Every checked column contributes its (column, value) pairs to a
-    single count, combined before the shuffle, so a value holding a third of the rows costs one
-    row per task; all checks then read those counts.
+    The model is evaluated once. With one unique column and a parent small enough to broadcast, the
+    other checks are flags on the row, and one record for each of its keys is shuffled. Otherwise
+    every checked column contributes its (column, value) pairs to a single count. Both combine
+    before the shuffle, so a value holding a third of the rows costs one row per task.
     """
     for check in checks:
         if check.kind not in KINDS:
             raise ValueError(f"unknown check {check.kind}")
+    keys = {c.column for c in checks if c.kind == "unique"}
+    if len(keys) == 1 and parent.small:
+        totals = _totals_by_key(df, checks, parent, parent_key, keys.pop())
+    else:
+        totals = _totals_by_value(df, checks, parent, parent_key)
+    report = F.explode(
+        F.array(*[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(c.column).alias("column"),
+                F.lit(c.kind).alias("check"),
+                F.lit(c.severity).alias("severity"),
+                F.col(f"check_{i}").alias("failing_rows"),
+            )
+            for i, c in enumerate(checks)
+        ])
+    )
+    return totals.select(report.alias("r")).select("r.*")
+
+
+def _totals_by_key(
+    df: DataFrame, checks: list[Check], parent: Lookup, parent_key: str, key: str
+) -> DataFrame:
+    """One row, ``check_0, check_1, ...``: failing rows, by way of one record for each key."""
+    frame = df.select(*sorted({c.column for c in checks}))
+    for column in sorted({c.column for c in checks if c.kind == "relationships"}):
+        known = key_as(F.col(parent_key), df.schema[column].dataType)
+        parents = parent.frame.select(known.alias("parent")).distinct()
+        frame = frame.join(
+            F.broadcast(parents), F.col(column) == F.col("parent"), "left"
+        ).withColumnRenamed("parent", f"parent of {column}")
+
+    def failing(check: Check) -> Column:
+        value = F.col(check.column)
+        match check.kind:
+            case "not_null":
+                return value.isNull()
+            case "relationships":
+                return value.isNotNull() & F.col(f"parent of {check.column}").isNull()
+            case "accepted_values":
+                return ~value.cast("string").isin(_accepted_texts(check, df))
+            case _:
+                return F.lit(False)  # counted from the keys
+
+    per_key = frame.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(failing(c)).alias(f"check_{i}") for i, c in enumerate(checks)],
+    )
+    repeated = F.count_if(F.col("key").isNotNull() & (F.col("n") > 1))
+    return per_key.agg(*[
+        (repeated if c.kind == "unique" else F.coalesce(F.sum(f"check_{i}"), F.lit(0).cast("bigint")))
+        .alias(f"check_{i}")
+        for i, c in enumerate(checks)
+    ])
+
+
+def _accepted_texts(check: Check, df: DataFrame) -> list[Column]:
+    """The accepted values as the column's own type would print them."""
+    kind = df.schema[check.column].dataType
+    return [F.lit(v).cast(kind).cast("string") for v in check.accepted]
+
+
+def _totals_by_value(
+    df: DataFrame, checks: list[Check], parent: Lookup, parent_key: str
+) -> DataFrame:
+    """The same by way of one record for each value of each column."""
     columns = sorted({c.column for c in checks})
     pairs = F.explode(
         F.array(*[
@@ -99,25 +165,12 @@ def check_model(
     else:
         counts = counts.withColumn("has_parent", F.lit(None).cast("boolean"))
 
-    totals = counts.agg(*[
-        _failing(c, df.schema[c.column].dataType).alias(f"check_{i}") for i, c in enumerate(checks)
+    return counts.agg(*[
+        _failing(c, df).alias(f"check_{i}") for i, c in enumerate(checks)
     ])
-    report = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(model).alias("model"),
-                F.lit(c.column).alias("column"),
-                F.lit(c.kind).alias("check"),
-                F.lit(c.severity).alias("severity"),
-                F.col(f"check_{i}").alias("failing_rows"),
-            )
-            for i, c in enumerate(checks)
-        ])
-    )
-    return totals.select(report.alias("r")).select("r.*")
 
 
-def _failing(check: Check, value_type: T.DataType) -> Column:
+def _failing(check: Check, df: DataFrame) -> Column:
     here = F.col("column") == check.column
     present = F.col("value").isNotNull()
     n = F.col("n")
@@ -129,9 +182,7 @@ def _failing(check: Check, value_type: T.DataType) -> Column:
         case "relationships":
             failing = F.when(here & present & F.col("has_parent").isNull(), n)
         case _:
-            # Accepted values as the column's own type would print them.
-            texts = [F.lit(v).cast(value_type).cast("string") for v in check.accepted]
-            listed = F.col("value").isin(texts)
+            listed = F.col("value").isin(_accepted_texts(check, df))
             failing = F.when(here & present & ~listed, n)
     return F.coalesce(F.sum(failing.cast("bigint")), F.lit(0).cast("bigint"))
 

@@ -224,8 +224,17 @@ def test_build_saves_facts_and_enforces_checks(spark, tmp_path):
     assert models.fact_trips.count() == spark.table("fact_trips").count() == 3
     assert spark.table("fact_fhv_trips").count() == 1
     assert spark.table("stg_green_tripdata").count() == 1
-    # Built again over new input: replaced, and refused by the one check that is an error.
+    # Built again over new input: refused by the one check that is an error; the old facts stay.
     paths["green_tripdata"] = write("g2", feed(spark, "green", {"DOLocationID": 77}))
     with pytest.raises(DataCheckError, match="stg_green_tripdata.dropoff_locationid"):
         build_models(Sources(spark, paths), tables_root=str(tmp_path / "out"), check=True)
+    assert spark.table("fact_trips").count() == 3
+    build_models(Sources(spark, paths), tables_root=str(tmp_path / "out"))
+    assert spark.table("fact_trips").count() == 2
+    # A run on samples saves nothing: its models are views.
+    before = {p.name for p in (tmp_path / "out").iterdir()}
+    sampled = build_models(Sources(spark, paths), is_test_run=True, tables_root=str(tmp_path / "out"))
+    assert sampled.fact_trips.count() == 2
+    assert {p.name for p in (tmp_path / "out").iterdir()} == before
+    spark.catalog.dropTempView("fact_trips")
     assert spark.table("fact_trips").count() == 2
