@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,10 +28,15 @@ from odd_rows import DATA, LONG, ODD
 LOWER, SPACED = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
-def plain_ids(path, text):
+@cache
+def library(path):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text, add_special_tokens=False).ids
+    return tokenizer
+
+
+def plain_ids(path, text):
+    return library(path).encode(text, add_special_tokens=False).ids
 
 
 ODD_TEXTS = [
