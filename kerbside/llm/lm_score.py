@@ -17,14 +17,12 @@ from kerbside.llm.common import saved
 
 # Bounds of what is broadcast: the most frequent words, and the classes and slots of the network.
 HEAD_WORDS = 131_072
-CLASSES = 64
-SLOTS = 32
+CLASSES = 128
+SLOTS = 64
 SUFFIX = 2  # words are classed by so many last characters
-# Gradient steps look at this share of the training documents each round, whole; all counts, and so
-# the unigram parts of the model, come from all of them.
+# Each training document is in one round, whole: the rounds together pass over all of them once.
 ROUNDS = 2
-ROUND_SHARE = 24
-LEAST_UPDATES = 120
+LEAST_UPDATES = 250
 COUNTED_WORDS = 500_000  # words a task counts before it hands them on
 SCORED_TOKENS = 2_000_000  # tokens scored side by side
 PARAM_BLOCK = 65_536
@@ -159,8 +157,9 @@ def fit(docs: DataFrame) -> dict:
 
     Words are counted over all of ``docs``. The network starts as the counts' unigram model; in each
     round every task trains on its share from the same parameters, and the results are averaged
-    block by block in a shuffle. What is gathered grows with the number of tasks, and so with the
-    input; only sums of bounded size reach the driver.
+    block by block in a shuffle. The rounds' shares are disjoint and leave no document out. What is
+    gathered grows with the number of tasks, and so with the input; only sums of bounded size reach
+    the driver.
     """
     counts = saved(word_counts(docs), "word-counts")
     totals = counts.agg(F.count("*"), F.sum("n")).first()
@@ -215,7 +214,7 @@ def _round(docs: DataFrame, model: dict, number: int) -> gru.Params:
                 "part": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary()),
             })
 
-    share = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(ROUND_SHARE)) == number
+    share = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(ROUNDS)) == number
     trained = docs.where(share).select("text").mapInArrow(
         learn, "block int, weight double, part binary"
     )

@@ -234,6 +234,14 @@ def test_lm_scores(spark, documents, odd, monkeypatch):
     assert lm_score.score_documents(odd.limit(0), model).count() == 0
 
 
+def test_every_training_document_reaches_the_network(spark):
+    for text in ("one two three", "a rose is a rose", "four five", "x y z x y z", "last of them"):
+        model = lm_score.fit(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+        masses = model["vocabulary"].slot_mass
+        before = gru.initial(masses.sum(axis=1), masses)
+        assert not np.array_equal(model["params"]["inputs"], before["inputs"])
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
