@@ -162,10 +162,10 @@ def discovered(base: DataFrame) -> DataFrame:
     """``(row, kind, start, end)``: unseen identifiers by the contexts of known ones.
 
     The graph has a node for each context (the two words before) and for each identifier, both by
-    kind, and an edge where the identifier follows the context. Base spans are seeds of score 1.
-    A round gives each context the mean score of the identifiers that follow it, if at least
-    ``LEAST_SEEDS`` different seeds do, and each other identifier the chance that at least one of its
-    contexts is right. In the end, contexts of ``CONFIDENCE`` or more tell what follows them.
+    kind, and an edge where the identifier follows the context. Base spans are the first seeds.
+    Contexts are scored from the seeds; identifiers that pass ``CONFIDENCE`` by them are seeds from
+    then on, whatever the patterns say, and contexts are scored again until that adds no seed to a
+    context that has not passed. In the end, contexts of ``CONFIDENCE`` or more tell what follows.
     """
     every = saved(occurrences(base), "occurrences")
     edges = saved(
@@ -174,16 +174,49 @@ def discovered(base: DataFrame) -> DataFrame:
         ),
         "edges",
     )
+    while True:
+        contexts = _scored_contexts(edges)
+        sure = contexts.where(F.col("confidence") >= CONFIDENCE).select("kind", "context")
+        elsewhere = edges.where(~F.col("known")).join(sure, ["kind", "context"], "left_anti")
+        learned = saved(
+            _chances(edges, contexts).where(F.col("chance") >= CONFIDENCE)
+            .join(elsewhere, ["kind", "value"], "left_semi").select("kind", "value"),
+            "learned",
+        )
+        if learned.isEmpty():
+            break
+        edges = saved(
+            edges.join(learned.withColumn("new", F.lit(True)), ["kind", "value"], "left").select(
+                "kind", "context", "value",
+                (F.col("known") | F.coalesce("new", F.lit(False))).alias("known"),
+            ),
+            "edges",
+        )
+    return every.where(~F.col("known")).join(sure, ["kind", "context"]).select(
+        "row", "kind", "start", "end"
+    )
+
+
+def _chances(edges: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``(kind, value, chance)``: the chance that at least one context of an identifier is right."""
+    chance = F.lit(1.0) - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
+    return (
+        edges.where(~F.col("known")).join(contexts, ["kind", "context"])
+        .groupBy("kind", "value").agg(chance.alias("chance"))
+    )
+
+
+def _scored_contexts(edges: DataFrame) -> DataFrame:
+    """``(kind, context, confidence)`` of the contexts that ``LEAST_SEEDS`` different seeds follow.
+
+    A round gives each such context the mean score of the identifiers that follow it: 1 for seeds
+    (``known``), and for others their chance by the contexts of the round before.
+    """
     contexts = None
     for _ in range(ROUNDS):
         scored = edges.withColumn("score", F.col("known").cast("double"))
         if contexts is not None:
-            chance = F.lit(1.0) - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
-            values = saved(
-                edges.where(~F.col("known")).join(contexts, ["kind", "context"])
-                .groupBy("kind", "value").agg(chance.alias("chance")),
-                "identifiers",
-            )
+            values = saved(_chances(edges, contexts), "identifiers")
             scored = scored.join(values, ["kind", "value"], "left").withColumn(
                 "score", F.when(F.col("known"), 1.0).otherwise(F.coalesce("chance", F.lit(0.0)))
             )
@@ -193,10 +226,7 @@ def discovered(base: DataFrame) -> DataFrame:
             ).where(F.col("seeds") >= LEAST_SEEDS).select("kind", "context", "confidence"),
             "contexts",
         )
-    sure = contexts.where(F.col("confidence") >= CONFIDENCE).select("kind", "context")
-    return every.where(~F.col("known")).join(sure, ["kind", "context"]).select(
-        "row", "kind", "start", "end"
-    )
+    return contexts
 
 
 def find_pii(docs: DataFrame) -> DataFrame:

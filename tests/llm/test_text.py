@@ -308,6 +308,20 @@ def test_contexts_discover_unseen_identifiers(spark, odd, tmp_path):
     assert pii.find_pii(odd).count() == len(ODD) and pii.find_pii(odd.limit(0)).count() == 0
 
 
+def test_discovered_identifiers_induce_further_contexts(spark):
+    digits = [(f"4000 1234 {k:04d} 567", last) for k in range(12) for last in range(10)]
+    good = {d[:14]: d + str(n) for d, n in digits if valid("card", d + str(n))}
+    bad = {d[:14]: d + str((int(good[d[:14]][-1]) + 1) % 10) for d, _ in digits}
+    seeds, unseen = list(good.values()), list(bad.values())
+    texts = [f"Please charge card number {v} today." for v in [*seeds, *unseen[:4]]]
+    texts += [f"They said her account {v} was new." for v in unseen[:4]]  # no base match follows
+    texts += [f"They said her account {unseen[4]} was new."]
+    texts += [f"Then a third code {v} came." for v in unseen[5:9]]  # nothing known follows
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: len(r.found) for r in pii.find_pii(docs).collect()}
+    assert got == {k: int(12 <= k < 21) for k in range(len(texts))}
+
+
 def plain_words(text):
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
