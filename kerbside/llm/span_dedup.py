@@ -17,7 +17,8 @@ from kerbside.llm.common import saved, text_key, whole_rows
 # A sentence ends at white space after . ! or ? (and closing marks), or with its line.
 BREAK = r"\s*\n\s*|(?:(?<=[.!?])|(?<=[.!?][\"')\]»”’]))\s+"
 WORD = r"\S+\s*"
-LONGEST = 24  # words; longer sentences are cut after each so many
+LONGEST = 24  # words; longer sentences are cut where their words say
+CUT_ONE_IN = 6
 LEAST_SENTENCES = 2
 LEAST_WORDS = 20
 
@@ -35,7 +36,8 @@ def sentences(text: str) -> list[str]:
         begin = end
         if piece.count(" ") >= LONGEST and len(words := re.findall(WORD, piece)) > LONGEST:
             lead = piece[: len(piece) - sum(map(len, words))]
-            parts = ["".join(words[k:k + LONGEST]) for k in range(0, len(words), LONGEST)]
+            ends = cuts(words)
+            parts = ["".join(words[k:end]) for k, end in zip([0, *ends], ends)]
             pieces += [lead + parts[0], *parts[1:]]
         else:
             pieces.append(piece)
@@ -44,6 +46,29 @@ def sentences(text: str) -> list[str]:
     return pieces
 
 
+def cuts(words: list[str]) -> list[int]:
+    """Where the pieces of a long sentence end: the same places in a passage wherever it begins.
+
+    A piece ends after a word whose hash is a multiple of ``CUT_ONE_IN``; after ``LONGEST`` words
+    without one, after that of them with the least hash, the last one in a loop of equal words.
+    """
+    ends, begin, least, at = [], 0, 2**64, 0
+    hashes = [xxhash.xxh3_64_intdigest(word.rstrip()) for word in words]
+    k = 0
+    while k < len(words):
+        if hashes[k] <= least:
+            least, at = hashes[k], k
+        if hashes[k] % CUT_ONE_IN == 0:
+            at = k
+        elif k + 1 - begin < LONGEST:
+            k += 1
+            continue
+        ends.append(at + 1)
+        begin = k = at + 1
+        least = 2**64
+    return ends if begin == len(words) else [*ends, len(words)]
+
+
 def spans(pieces: list[str]) -> list[tuple[int, int, str]]:
     """``(first, last, words)`` of the span from each sentence: the shortest run of at least
     ``LEAST_SENTENCES`` sentences and ``LEAST_WORDS`` words, words joined by single spaces.

@@ -213,6 +213,39 @@ def test_span_dedup_equals_brute_force(spark, documents, texts, odd):
     assert dedup_spans(odd.limit(0)).count() == 0
 
 
+def test_passages_inside_long_sentences_go_wherever_they_begin(spark):
+    deal = np.random.default_rng(8)
+    own = lambda n: [f"w{x}" for x in deal.integers(0, 10**9, n)]
+    docs, passages = [], []
+    for size in range(50, 61):
+        passages.append(own(size))
+        docs += [
+            (5 * size + k, " ".join([*own(before), *passages[-1], *own(40)]) + ".")
+            for k, before in enumerate((0, 5, 11, 17, 30))
+        ]
+    got = {r.row.doc_id: r.new_text.split() for r in dedup_spans(
+        spark.createDataFrame(docs, "doc_id bigint, text string")
+    ).collect()}
+    left = total = 0
+    for k, (i, text) in enumerate(docs):
+        if k % 5 == 0:
+            assert got[i] == text.split()
+        else:
+            passage = set(passages[k // 5])
+            total += len(passage)
+            left += len(passage.intersection(got[i]))
+            kept = [w for w in text.rstrip(".").split() if w not in passage]
+            assert [w.rstrip(".") for w in got[i] if w.rstrip(".") not in passage] == kept
+    assert left < total / 3
+
+
+def test_loops_of_one_word_are_cut():
+    for word in ("yes", "no", "loop", "x"):
+        pieces = sentences(f"{word} " * 200)
+        assert "".join(pieces) == f"{word} " * 200
+        assert all(len(p.split()) <= 24 for p in pieces) and len(pieces) > 8
+
+
 def test_span_dedup_takes_a_shared_passage_only(spark):
     passage = " ".join(f"Sentence {k} of the passage has some seven words." for k in range(7))
     alone = " ".join("w%d" % k for k in range(55))  # without a full stop
