@@ -153,16 +153,18 @@ def _parse(table: np.ndarray, grid: np.ndarray, active: np.ndarray) -> np.ndarra
 def labelled_sample(docs: DataFrame, label: str = "lang", text: str = "text") -> dict[str, str]:
     """A bounded sample of each label's texts, joined: rows of least text hash, the middle of each.
 
-    All labelled rows are counted first; the share of hashes to look at follows from the count, so
-    what reaches the driver is bounded by ``SAMPLE_SYMBOLS`` however large the table is.
+    All labelled texts are counted first, copies once; the share of hashes to look at follows from
+    the count, so what reaches the driver is bounded by ``SAMPLE_SYMBOLS`` however large the table
+    is, and a text with many copies takes nothing from the others of its label.
     """
     piece = F.least(F.length(text), F.lit(SAMPLE_DOC_CHARS))
     rows = docs.where(F.col(label).isNotNull() & (F.length(text) > 0))
-    chars = {r[0]: r[1] for r in rows.groupBy(label).agg(F.sum(piece)).collect()}
+    place = F.xxhash64(F.lit(7), F.col(text)).bitwiseAND(F.lit((1 << 63) - 1))
+    texts = rows.groupBy(F.col(label).alias("label"), place.alias("place")).agg(F.max(piece).alias("n"))
+    chars = {r[0]: r[1] for r in texts.groupBy("label").agg(F.sum("n")).collect()}
     if not chars:
         return {}
     each = max(1, SAMPLE_SYMBOLS // len(chars))
-    place = F.xxhash64(F.lit(7), F.col(text)).bitwiseAND(F.lit((1 << 63) - 1))
     share = F.create_map(*[
         x for name, n in chars.items()
         for x in (F.lit(name), F.lit(int(min(1.0, SAMPLE_SPARE * max(each, 4 * SAMPLE_DOC_CHARS) / n) * (2**63 - 2**10))))

@@ -169,6 +169,13 @@ def test_language_id(spark, documents, odd):
     assert langid.identify(odd.limit(0), model).count() == 0
 
 
+def test_copies_take_nothing_from_the_sample(spark):
+    copies = spark.range(200_000).selectExpr("repeat('hot text of many copies ', 160) text", "'aa' lang")
+    others = spark.range(100).selectExpr("concat('other text ', id, repeat(' of this label', 25)) text", "'aa' lang")
+    sample = langid.labelled_sample(copies.unionAll(others))
+    assert sample["aa"].count("other text") == 100 and "hot text" in sample["aa"]
+
+
 def test_gradients():
     random = np.random.default_rng(0)
     p = gru.initial(random.integers(1, 50, 5).astype(float), random.integers(1, 9, (5, 4)).astype(float))
