@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm.bpe_tree import decode_ids, encode_texts
 from kerbside.llm.common import table
 from kerbside.llm.decontaminate import contamination
 from kerbside.llm.embedding_dedup import near_vectors
@@ -104,6 +105,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; a null text is empty: no ids, and the hashes of nothing."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode_ids(encode_texts(docs, vocabulary), vocabulary)
+    return coded.select(
+        "row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -115,4 +128,5 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_span_dedup": op9_span_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_bpe_tree": op12_bpe_tree,
 }

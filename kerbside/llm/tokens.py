@@ -15,6 +15,7 @@ import regex
 from tokenizers import Tokenizer
 
 CACHED_WORDS = 800_000  # then the cache starts anew: about 160 MB
+CACHED_LETTERS = 128  # longer words are not kept
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 # Unicode white space, as the tokenizers' patterns take it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,7 +52,9 @@ class _Cached(dict):
     def __missing__(self, key):
         if len(self) >= CACHED_WORDS:
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= CACHED_LETTERS:
+            self[key] = value
         return value
 
 

@@ -1,0 +1,129 @@
+"""Tree concatenation against the tokenizers library."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from functools import cache
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from kerbside.llm import bpe_tree
+from kerbside.llm.bpe_tree import decode_ids, encode_texts, tree_encoder
+from kerbside.llm.queries import QUERIES
+from odd_rows import DATA, LONG, ODD
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@cache
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def plain(text):
+    return library().encode(text, add_special_tokens=False).ids
+
+
+def tree(text, leaf):
+    own = tree_encoder(PATH)
+    leaves = own.halves(text, leaf)
+    assert "".join(leaves) == text and (leaf < 32 or all(len(x) <= leaf + 13 for x in leaves))
+    return own.concatenate([(x, own.encode(x)) for x in leaves]).tolist()
+
+
+@pytest.fixture
+def narrow(monkeypatch):
+    """Windows as small as they can be, also within short words."""
+    monkeypatch.setattr(bpe_tree, "PLAIN_BYTES", 0)
+    monkeypatch.setattr(bpe_tree, "FIRST_TOKENS", 1)
+
+
+PIECES = [
+    "a", "ab", "the", "ing", "in", "s", "'s", "'re", "'", "ll", " ", "  ", "\n", "\t", "1", "23", "é", "日本", "—",
+    "!", "!!", "...", "=", "====", "\U0001F600", "́", "<|endoftext|>", "<|endof", "text|>", "\x85", "A", "tion",
+]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=24).map("".join), st.integers(1, 6), st.booleans())
+@example("<|endoftext|><|endoftext|>", 1, True)
+def test_any_text_in_any_halves(text, leaf, small):
+    before = bpe_tree.PLAIN_BYTES, bpe_tree.FIRST_TOKENS
+    bpe_tree.PLAIN_BYTES, bpe_tree.FIRST_TOKENS = (0, 1) if small else before
+    try:
+        assert tree(text, leaf) == plain(text)
+    finally:
+        bpe_tree.PLAIN_BYTES, bpe_tree.FIRST_TOKENS = before
+    assert tree_encoder(PATH).decode(np.array(plain(text), "<u4")) == library().decode(
+        plain(text), skip_special_tokens=False
+    )
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyz", "a", "é日x", "01", "=-", " "])
+def test_one_word_of_any_length(letters, narrow):
+    rng = random.Random(7)
+    for size in (1, 2, 3, 17, 64, 301, 1500):
+        word = "".join(rng.choice(letters) for _ in range(size))
+        for leaf in (1, 5, 40):
+            assert tree(f" {word} and", leaf) == plain(f" {word} and")
+
+
+def test_only_surroundings_of_a_join_are_encoded_again(monkeypatch):
+    rng = random.Random(3)
+    word = "".join(rng.choice("abcdefghijklmnop") for _ in range(60_000))
+    own = tree_encoder(PATH)
+    parts = [(x, own.encode(x)) for x in own.halves(word, 4096)]
+    seen = []
+    model = own._model
+    monkeypatch.setattr(own, "_model", lambda w: seen.append(len(w)) or model(w))
+    assert own.concatenate(parts).tolist() == plain(word)
+    assert len(seen) >= len(parts) - 1 and max(seen) < 200
+
+
+def test_decoding_bytes_that_are_no_text():
+    own = tree_encoder(PATH)
+    rng = random.Random(5)
+    for _ in range(300):
+        ids = [rng.randrange(50_257) for _ in range(rng.randrange(1, 12))]
+        ids = [i if rng.random() < 0.5 else rng.randrange(256) for i in ids]
+        assert own.decode(np.array(ids, "<u4")) == library().decode(ids, skip_special_tokens=False)
+
+
+def digests(text):
+    ids = plain(text)
+    decoded = library().decode(ids, skip_special_tokens=False)
+    return (
+        len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+        hashlib.sha256(decoded.encode()).hexdigest(),
+    )
+
+
+def test_query_equals_the_library(spark, texts):
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_bpe_tree"](spark, DATA).collect()}
+    assert got == {i: digests(t or "") for i, t in texts.items()}
+
+
+def test_odd_rows(spark, odd):
+    got = decode_ids(encode_texts(odd, PATH, leaf_chars=1000), PATH).collect()
+    assert sorted((str(r.row.doc_id), r.row.text or "") for r in got) == sorted(
+        (str(i), t or "") for i, t in ODD
+    )
+    own = {t: plain(t) for t in {t or "" for _, t in ODD} - {LONG}}
+    for r in got:
+        assert r.row.asDict().keys() == set(odd.columns)
+        assert r.decoded == (r.row.text or "")
+        if r.row.text != LONG:
+            assert np.frombuffer(r.ids, "<u4").tolist() == own[r.row.text or ""]
+    assert {hashlib.sha256(r.ids).hexdigest() for r in got if r.row.text == LONG} == {digests(LONG)[1]}
+    assert encode_texts(odd.limit(0), PATH).count() == 0
+    nulls = spark.createDataFrame([(None,)], "ids binary")
+    assert decode_ids(nulls, PATH).first().decoded is None
