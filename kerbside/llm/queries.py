@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm.alignment import align_documents, pair_counts, score_links
 from kerbside.llm.bpe_tree import decode_ids, encode_texts
-from kerbside.llm.common import table
+from kerbside.llm.common import saved, table
 from kerbside.llm.decontaminate import contamination
 from kerbside.llm.embedding_dedup import near_vectors
 from kerbside.llm.langid import fit, identify
@@ -117,6 +118,24 @@ def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; zeros and an empty text where there are no tokens."""
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+    numbers = ["n_a", "n_b", "n_groups", "n_links"]
+    facts = saved(aligned.select(
+        F.monotonically_increasing_id().alias("row_no"), "row.doc_id", *numbers,
+        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+        "pairs", "times",
+    ), "aligned", "zstd")
+    counts = saved(pair_counts(facts), "pair-counts")
+    scored = facts.drop("pairs", "times").join(
+        score_links(facts, counts, "row_no"), "row_no", "left"
+    )
+    sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
+    return scored.select("doc_id", *numbers, *sums, "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -129,4 +148,5 @@ QUERIES: dict[str, Query] = {
     "op9_span_dedup": op9_span_dedup,
     "op10_decontamination": op10_decontamination,
     "op12_bpe_tree": op12_bpe_tree,
+    "op13_alignment": op13_alignment,
 }
