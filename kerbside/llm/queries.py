@@ -19,6 +19,7 @@ from kerbside.llm.lm_score import fit as fit_language_model
 from kerbside.llm.lm_score import score_documents
 from kerbside.llm.packing import pack_documents
 from kerbside.llm.pii import KINDS, base_structs, find_pii, spans_text
+from kerbside.llm.prefix_trie import conversation_paths, prefix_trie, with_shared_heads
 from kerbside.llm.simhash import near_duplicates
 from kerbside.llm.span_dedup import dedup_spans
 from kerbside.llm.token_files import read_token_files, write_token_files
@@ -106,6 +107,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a node of the rebuilt conversations; none without conversations."""
+    paths = saved(conversation_paths(table(spark, sf_dir, "conversations")), "conversations")
+    return prefix_trie(with_shared_heads(paths, block=100, heads=6)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256",
+    )
+
+
 def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a document; a null text is empty: no ids, and the hashes of nothing."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -147,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_span_dedup": op9_span_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_bpe_tree": op12_bpe_tree,
     "op13_alignment": op13_alignment,
 }
