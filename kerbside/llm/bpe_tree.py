@@ -58,7 +58,7 @@ class TreeEncoder:
         entries |= {i: content.encode() for content, i in self.special.items()}
         self.entries = [entries.get(i, b"") for i in range(max(entries) + 1)]
         self.lengths = np.array([len(e) for e in self.entries], np.int64)
-        self._special_ids = np.array(sorted(self.special.values()), np.uint32)
+        self.narrow = "<u2" if len(self.entries) <= 1 << 16 else "<u4"
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text in one go."""
@@ -242,7 +242,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS)
     rows, null ids and clashing column names are kept as they are; an empty table gives no rows.
 
     Texts up to ``leaf_chars`` are encoded where they are read. Of the longer ones each different
-    text is encoded once: its leaves are dealt out evenly, and what one group joins is one text.
+    text is encoded once: its leaves are dealt out evenly, and what one group joins is one text's ids.
     """
     rows = docs.select(whole_rows(docs).alias("row"))
     text = F.col("row.text")
@@ -259,15 +259,18 @@ def encode_texts(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS)
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["row", "ids"])
 
     short = rows.where(~long).mapInArrow(short_ids, schema)
-    key = F.sha2(text.cast("binary"), 256)
-    texts = rows.where(long).select(key.alias("key"), text.alias("text")).dropDuplicates(["key"])
-    joined = concatenated(encoded_leaves(texts, vocabulary, leaf_chars), vocabulary)
-    keyed = rows.where(long).select("row", key.alias("key"))
+    keyed = rows.where(long).select("row", F.sha2(text.cast("binary"), 256).alias("key"))
+    leaves = encoded_leaves(keyed.select("key", "row.text"), vocabulary, leaf_chars)
+    joined = concatenated(leaves, vocabulary)
     return short.unionAll(keyed.join(joined, "key").select("row", "ids"))
 
 
 def encoded_leaves(texts: DataFrame, vocabulary: str, leaf_chars: int) -> DataFrame:
-    """``(key, place, part, ids)`` of the leaves of the texts of ``(key, text)``, dealt out evenly."""
+    """``(key, place, ids)`` of the leaves of the texts of ``(key, text)``, dealt out evenly.
+
+    Equal keys hold equal texts; their leaves are encoded once. ``ids`` take as few bytes as the
+    vocabulary allows; they spell the leaf.
+    """
     cut_schema = "key string, place int, part string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,27 +284,26 @@ def encoded_leaves(texts: DataFrame, vocabulary: str, leaf_chars: int) -> DataFr
                 )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = tree_encoder(vocabulary)
         for whole in batches:
             for at in range(0, len(whole), ROWS):
                 batch = whole.slice(at, ROWS)
-                ids = [tree_encoder(vocabulary).encode(t).tobytes() for t in batch.column(2).to_pylist()]
+                ids = [own.encode(t).astype(own.narrow).tobytes() for t in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(ids, pa.binary())], names=["key", "place", "part", "ids"]
+                    [*batch.columns[:2], pa.array(ids, pa.binary())], names=["key", "place", "ids"]
                 )
 
-    spark = texts.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    leaves = texts.mapInArrow(cut, cut_schema).repartition(tasks, "key", "place")
-    return leaves.mapInArrow(encode, cut_schema + ", ids binary")
+    leaves = texts.mapInArrow(cut, cut_schema).dropDuplicates(["key", "place"])
+    return leaves.mapInArrow(encode, "key string, place int, ids binary")
 
 
 def concatenated(leaves: DataFrame, vocabulary: str) -> DataFrame:
     """``(key, ids)``: each text's leaves joined as a tree."""
     def join(group: pa.Table) -> pa.Table:
-        group = group.sort_by("place")
-        parts = zip(group["part"].to_pylist(), group["ids"].to_pylist())
-        ids = tree_encoder(vocabulary).concatenate([(p, np.frombuffer(i, "<u4")) for p, i in parts])
-        return pa.table({"key": group["key"][:1], "ids": pa.array([ids.tobytes()], pa.binary())})
+        own = tree_encoder(vocabulary)
+        ids = [np.frombuffer(i, own.narrow) for i in group.sort_by("place")["ids"].to_pylist()]
+        whole = own.concatenate([(own.decode(i), i.astype("<u4")) for i in ids])
+        return pa.table({"key": group["key"][:1], "ids": pa.array([whole.tobytes()], pa.binary())})
 
     return leaves.groupBy("key").applyInArrow(join, "key string, ids binary")
 
