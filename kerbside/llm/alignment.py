@@ -26,8 +26,9 @@ from kerbside.llm.bpe_tree import tree_encoder
 from kerbside.llm.common import whole_rows
 from kerbside.llm.tokens import CUT, SpacedWords, _Cached, encoder
 
-BATCH_CHARS = 4_000_000  # text merged at a time
-LANE_CHARS = 1_024  # longer documents have several lanes
+BATCH_CHARS = 2_000_000  # text merged at a time
+LANE_CHARS = 512  # longer documents have several lanes
+CACHED_WORDS = 300_000  # of either vocabulary; then the cache starts anew
 SMALL_GROUP = 64  # links of larger groups are counted by id before they are multiplied out
 # Pairs broadcast with their counts: at most so many, of three numbers each, whatever the input.
 # All others are joined by a shuffle.
@@ -56,7 +57,7 @@ class PieceWords:
         alone = [0, self._model.piece_to_id("<0x0A>")]
         self._by_word = not any(map(crossing, pieces)) and self._model.encode("\n")[1:] == alone[1:]
         self._find = re.compile(r"\n| *[^ \n]+| +").findall
-        self._words = _Cached(self._word)
+        self._words = _Cached(self._word, CACHED_WORDS)
         self._faithful = True  # so far, each word's pieces spelled the word
 
     def _word(self, word: str) -> bytes:
@@ -166,7 +167,7 @@ class Aligner:
     """Aligns batches of texts; a text's result depends on that text only."""
 
     def __init__(self, vocabulary_a: str, vocabulary_b: str):
-        self.a = encoder(SpacedWords, vocabulary_a)
+        self.a = encoder(SpacedWords, vocabulary_a, CACHED_WORDS)
         self.a_lengths = tree_encoder(vocabulary_a).lengths
         self.b = piece_words(vocabulary_b)
         n_a, n_b = len(self.a_lengths), len(self.b.lengths)
@@ -190,7 +191,7 @@ class Aligner:
                 b = self.b.encode(part)
                 if b is None:
                     break
-                own.append((np.frombuffer(self.a.encode(part), "<u4"), b))
+                own.append((np.frombuffer(self.a.encode(part[1:], " "), "<u4"), b))
             else:
                 a_ids += [x for x, _ in own]
                 b_ids += [x for _, x in own]
@@ -200,6 +201,7 @@ class Aligner:
         a_doc, b_doc = (
             np.repeat(np.array(doc_of_lane, np.int64), np.diff(s)) for s in starts
         )
+        del a_ids, b_ids
         steps = list(lockstep(
             np.cumsum(self.a_lengths[a]), np.cumsum(self.b.lengths[b]), *starts
         ))
@@ -210,13 +212,12 @@ class Aligner:
         order = np.argsort(ends[0])
         groups = Groups(*(x[order] for x in ends))
         n_a, n_b = self.base
-        codes = [
-            (a_doc[x] * n_a + a[x]) * n_b + b[y] for _, (x, y), _ in steps
-        ]
+        codes = [(a_doc[x] * n_a + a[x]) * n_b + b[y] for _, (x, y), _ in steps]
+        large = [self._large(a_doc, a, b, *g) for _, _, rest in steps for g in rest]
+        del steps
         codes, times = np.unique(
             np.concatenate([np.array([], np.int64), *codes]), return_counts=True
         )
-        large = [self._large(a_doc, a, b, *g) for _, _, rest in steps for g in rest]
         if large:
             codes, where = np.unique(
                 np.concatenate([codes, *(c for c, _ in large)]), return_inverse=True

@@ -43,14 +43,14 @@ BYTE_LETTERS = _byte_letters()
 
 
 class _Cached(dict):
-    """A dictionary that makes what it lacks."""
+    """A dictionary that makes what it lacks, and starts anew when it holds ``most``."""
 
-    def __init__(self, make):
+    def __init__(self, make, most):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         value = self.make(key)
         if len(key) <= CACHED_LETTERS:
@@ -61,13 +61,13 @@ class _Cached(dict):
 class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit integers, without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         self._normalizer = tokenizer.normalizer
         self._model = tokenizer.model
-        self._pieces = _Cached(self._piece)
+        self._pieces = _Cached(self._piece, most)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
@@ -77,12 +77,12 @@ class WordEncoder:
 class LowerWords(WordEncoder):
     """For a vocabulary that lowers text and drops white space."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, most: int = CACHED_WORDS):
+        super().__init__(path, most)
         self._find = regex.compile(
             rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
         ).findall
-        self._words = _Cached(self._word)
+        self._words = _Cached(self._word, most)
 
     def encode(self, text: str) -> bytes:
         if text.isascii():
@@ -101,23 +101,24 @@ class LowerWords(WordEncoder):
 class SpacedWords(WordEncoder):
     """For a vocabulary whose words carry the space before them."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, most: int = CACHED_WORDS):
+        super().__init__(path, most)
         fine = regex.compile(
             rf"{CONTRACTIONS}| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
             rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
         )
         self._find = fine.findall
-        self._words = _Cached(self._text)
+        self._words = _Cached(self._text, most)
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str, lead: str = "") -> bytes:
+        """The ids of ``lead + text``; ``lead`` is a space or nothing."""
         # White space other than single spaces and line ends between words goes the long way, and
         # so does the control character that marks the cuts here.
         words, between = text.split(), text.count(" ") + text.count("\n")
         even = len(words) == between + 1 and sum(map(len, words)) + between == len(text)
         if not even or CUT in text:
-            return self._text(text)
-        text = text.replace(" ", CUT + " ").replace("\n", f"{CUT}\n{CUT}")
+            return self._text(lead + text)
+        text = (lead + text).replace(" ", CUT + " ").replace("\n", f"{CUT}\n{CUT}")
         if lone_marks(text):
             text = text.replace(".", CUT + ".").replace(",", CUT + ",")
         return b"".join(map(self._words.__getitem__, text.split(CUT)))
@@ -127,6 +128,6 @@ class SpacedWords(WordEncoder):
 
 
 @cache
-def encoder(kind: type[WordEncoder], path: str) -> WordEncoder:
+def encoder(kind: type[WordEncoder], path: str, most: int = CACHED_WORDS) -> WordEncoder:
     """One encoder a process, so that its cache serves all its tasks."""
-    return kind(path)
+    return kind(path, most)
