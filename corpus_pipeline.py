@@ -13,12 +13,12 @@ from kerbside.llm.decontaminate import drop_contaminated
 from kerbside.llm.langid import UNKNOWN, fit, identify
 from kerbside.llm.line_dedup import dedup_lines
 from kerbside.llm.packing import pack_documents
-from kerbside.llm.shingles import drop_similar
+from kerbside.llm.simhash import drop_near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Near-duplicates share so much of their five-word shingles, whatever their fingerprints' bits.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+# Fingerprints over shingles of so many words are near-duplicates' up to so many differing bits.
+NEAR_WORDS, NEAR_BITS = 4, 4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that of the least id."""
-    return drop_similar(docs, NEAR_WORDS, NEAR_SIMILARITY)
+    return drop_near_duplicates(docs, NEAR_WORDS, NEAR_BITS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written down before the next one reads it.
+
+    Null and empty texts leave with the first stage, repeated rows and ties are decided by each
+    stage's own rule, extra columns go through all but the last, and an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
