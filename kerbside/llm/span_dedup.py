@@ -130,7 +130,7 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     document and are treated alike. Null stays null, an empty text has no sentence, a text of which
     all is removed becomes empty; nothing but ``doc_id`` and ``text`` is looked at.
     """
-    every = span_rows(docs)
+    every = saved(span_rows(docs), "spans", "zstd")
     repeated = saved(
         every.groupBy("span").agg(
             F.count("*").alias("n"), F.min("doc_id").alias("first_id"),
