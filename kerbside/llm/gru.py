@@ -9,10 +9,12 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN = 16
-TRAIN_LANES = 128
+TRAIN_LANES = 256
 TRAIN_STEPS = 16  # backpropagation is truncated to so many steps; the state goes on
 SCORE_STEPS = 32
 SCORE_ROWS = 100_000  # states whose outputs are computed together
+CHUNK = 16  # rows of one class multiplied together in training; classes are filled up to it
+STEEP = 60.0  # outputs of at most this size need no shift before they are exponentiated
 RATE = 0.08
 CLIP = 1.0
 
@@ -60,9 +62,15 @@ def _by_class(cls: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return list(zip(names.tolist(), np.split(order, begin[1:])))
 
 
-def _picked(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+def _bound(w: np.ndarray, b: np.ndarray, axis: int) -> float:
+    """What no output exceeds in size, as no state does 1."""
+    return float((np.abs(w).sum(axis=axis) + np.abs(b)).max(initial=0))
+
+
+def _picked(x: np.ndarray, column: np.ndarray, bound: float) -> np.ndarray:
     """Log softmax of one column in each row; ``x`` is used up."""
-    x -= x.max(axis=1, keepdims=True)
+    if bound > STEEP:
+        x -= x.max(axis=1, keepdims=True)
     chosen = x[np.arange(len(x)), column]
     np.exp(x, out=x)
     return chosen - np.log(x.sum(axis=1))
@@ -72,9 +80,14 @@ def log_likelihood(p: Params, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol, given the state before it."""
     slots = p["slot_b"].shape[1]
     cls, slot = symbols // slots, symbols % slots
-    out = _picked(h @ p["class_w"] + p["class_b"], cls)
+    x = h @ p["class_w"]
+    x += p["class_b"]
+    out = _picked(x, cls, _bound(p["class_w"], p["class_b"], 0))
+    bound = _bound(p["slot_w"], p["slot_b"], 2)
     for c, own in _by_class(cls):
-        out[own] += _picked(h[own] @ p["slot_w"][c].T + p["slot_b"][c], slot[own])
+        x = h[own] @ p["slot_w"][c].T
+        x += p["slot_b"][c]
+        out[own] += _picked(x, slot[own], bound)
     return out
 
 
@@ -189,11 +202,28 @@ def _output_gradients(p: Params, h: np.ndarray, symbols: np.ndarray) -> tuple[np
         "slot_w": np.zeros_like(p["slot_w"]), "slot_b": np.zeros_like(p["slot_b"]),
     }
     d_h = wrong @ p["class_w"].T
-    for c, own in _by_class(cls):
-        part = h[own]
-        off = np.exp(_log_softmax(part @ p["slot_w"][c].T + p["slot_b"][c]))
-        off[np.arange(len(own)), slot[own]] -= 1
-        grads["slot_w"][c] = off.T @ part
-        grads["slot_b"][c] = off.sum(axis=0)
-        d_h[own] += off @ p["slot_w"][c]
+    # Rows by class, in chunks of equal size: all classes are multiplied at once.
+    order = np.argsort(cls, kind="stable")
+    names, begin, sizes = np.unique(cls[order], return_index=True, return_counts=True)
+    chunks = -(-sizes // CHUNK)
+    first = np.cumsum(chunks) - chunks
+    place = np.arange(len(cls)) + np.repeat(first * CHUNK - begin, sizes)
+    rows = np.zeros((chunks.sum() * CHUNK, h.shape[1]), np.float32)
+    rows[place] = h[order]
+    rows = rows.reshape(-1, CHUNK, h.shape[1])
+    of = np.repeat(names, chunks)
+    weights = p["slot_w"][of]
+    off = rows @ weights.transpose(0, 2, 1)
+    off += p["slot_b"][of][:, None]
+    off -= off.max(axis=2, keepdims=True)
+    np.exp(off, out=off)
+    off /= off.sum(axis=2, keepdims=True)
+    flat = off.reshape(-1, slots)
+    filled = np.zeros(len(flat), bool)
+    filled[place] = True
+    flat[~filled] = 0
+    flat[place, slot[order]] -= 1
+    grads["slot_w"][names] = np.add.reduceat(off.transpose(0, 2, 1) @ rows, first)
+    grads["slot_b"][names] = np.add.reduceat(off.sum(axis=1), first)
+    d_h[order] += (off @ weights).reshape(-1, h.shape[1])[place]
     return d_h, grads
