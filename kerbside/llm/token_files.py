@@ -87,13 +87,15 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int, form: str) -> DataF
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)
-                ids = [
-                    np.frombuffer(to_ids(text.as_py() or "") + end, "<u4").astype(form).tobytes()
-                    for text in batch.column(1)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(ids, pa.binary())], names=schema.names
+                ids = [to_ids(text or "") + end for text in batch.column(1).to_pylist()]
+                # One buffer for all of them.
+                narrow = np.frombuffer(b"".join(ids), "<u4").astype(form)
+                ends = np.cumsum([0, *map(len, ids)]) // ID_BYTES * narrow.itemsize
+                column = pa.Array.from_buffers(
+                    pa.binary(), len(ids),
+                    [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(narrow)],
                 )
+                yield pa.RecordBatch.from_arrays([batch.column(0), column], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
@@ -104,11 +106,10 @@ def ids_by_rank(tokens: DataFrame, form: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                new = np.bincount(np.frombuffer(ids.as_py(), form))
-                if len(new) > len(total):
-                    total = np.pad(total, (0, len(new) - len(total)))
-                total[:len(new)] += new
+            new = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), form))
+            if len(new) > len(total):
+                total = np.pad(total, (0, len(new) - len(total)))
+            total[:len(new)] += new
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found), pa.array(total[found])], names=["id", "n"]
@@ -144,9 +145,9 @@ def write_token_files(
         held: list[tuple] = []
         n_held = 0
         for batch in batches:
-            for k in range(len(batch)):
-                ids = np.frombuffer(batch.column(1)[k].as_py(), form)
-                held.append((batch.column(0)[k], ids))
+            for doc, text_ids in zip(batch.column(0), batch.column(1).to_pylist()):
+                ids = np.frombuffer(text_ids, form)
+                held.append((doc, ids))
                 n_held += len(ids)
                 if n_held >= SHARD_IDS:
                     yield flush(part, shard, held)
@@ -210,7 +211,8 @@ def read_token_files(spark: SparkSession, shards: DataFrame, folder: str, id_typ
                         pa.array([ids[b:e].tobytes() for b, e in zip(begins[at:stop], ends[at:stop])], pa.binary()),
                     ], names=schema.names)
 
-    return placed.repartition("path").mapInArrow(read, schema)
+    # A given number of tasks: told the key alone, Spark would gather the few small rows in one.
+    return placed.repartition(max(1, shards.count()), "path").mapInArrow(read, schema)
 
 
 def read_shard(content: bytes, by_rank: np.ndarray) -> tuple[pa.Table, np.ndarray]:
