@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -19,27 +18,32 @@ from kerbside.llm.common import whole_rows
 SAMPLE_SYMBOLS = 160_000
 SAMPLE_DOC_CHARS = 4_000
 SAMPLE_SPARE = 3
-LETTERS = 96  # of the alphabet; rarer ones are one symbol that no automaton knows
+DENSE_ENTRIES = 16_000_000  # of an automaton's table; larger ones list the ways they have
 WINDOW = 512  # symbols parsed in one go; a phrase ends with its window
 LANES = 4_096
 UNKNOWN = "und"
 
 
 class LanguageModel:
-    """One suffix automaton a language, as a table from (state, symbol) to state."""
+    """One suffix automaton a language, as a table from (state, symbol) to state.
+
+    Each language has an alphabet of its own, all letters of its sample; a letter outside it is a
+    phrase by itself there.
+    """
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        letters = Counter("".join(t.lower() for t in samples.values()))
-        ranked = sorted((c for c in letters if c.isalpha()), key=lambda c: (-letters[c], c))
-        self.letters = "".join(ranked[:LETTERS])
-        self.width = len(self.letters) + 2
-        self.tables, self.cost = [], []
+        self.letters = "".join(sorted({c for t in samples.values() for c in t.lower() if c.isalpha()}))
+        self.tables, self.cost, self.own = [], [], []
         for lang in self.langs:
             symbols = self.symbols(samples[lang])
-            known = symbols[symbols < self.width - 1]
-            self.tables.append(suffix_automaton(known.tolist(), self.width))
-            self.cost.append(np.log2(max(2, len(known))))
+            alphabet = np.unique(symbols[symbols > 0])
+            own = np.full(len(self.letters) + 2, len(alphabet) + 1, np.int32)
+            own[0] = 0
+            own[alphabet] = np.arange(1, len(alphabet) + 1)
+            self.own.append(own)
+            self.tables.append(suffix_automaton(own[symbols].tolist(), len(alphabet) + 2))
+            self.cost.append(np.log2(max(2, len(symbols))))
 
     def symbols(self, text: str) -> np.ndarray:
         """Lowered letters as 1, 2, ...; runs of anything else as one 0."""
@@ -60,18 +64,18 @@ class LanguageModel:
         for start in range(0, len(order), LANES):
             lanes = order[start:start + LANES]
             sizes = np.array([len(pieces[k]) for k in lanes])
-            grid = np.zeros((len(lanes), sizes[0]), np.uint8)
+            grid = np.zeros((len(lanes), sizes[0]), np.int32)
             for row, k in enumerate(lanes):
                 grid[row, :sizes[row]] = pieces[k]
-            grid = np.ascontiguousarray(grid.T).astype(np.int32)
+            grid = np.ascontiguousarray(grid.T)
             active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-            for lang, table in enumerate(self.tables):
-                np.add.at(counts[lang], owner[lanes], _parse(table, grid, active))
+            for lang, (table, own) in enumerate(zip(self.tables, self.own)):
+                np.add.at(counts[lang], owner[lanes], _parse(table, own.take(grid), active))
         return counts
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and confidence of each text; phrases are normalised by what naming one costs."""
-        symbols = [self.symbols(t) if t else np.zeros(0, np.uint8) for t in texts]
+        symbols = [self.symbols(t) if t else np.zeros(0, np.int32) for t in texts]
         none = np.array([not s.any() for s in symbols], bool)
         if not self.langs:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -89,7 +93,7 @@ class LanguageModel:
 
 @cache
 def _code_table(letters: str) -> np.ndarray:
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, np.int32)
     for point in range(len(table)):
         if chr(point).isalpha():
             table[point] = len(letters) + 1
@@ -98,7 +102,19 @@ def _code_table(letters: str) -> np.ndarray:
     return table
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+class _Ways:
+    """The entries of a table that are not -1; taken like a table's."""
+
+    def __init__(self, entries: dict[int, int]):
+        self.places = np.array(sorted(entries), np.int64)
+        self.values = np.array([entries[p] for p in self.places.tolist()], np.int64)
+
+    def take(self, places: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
+        return np.where(self.places[at] == places, self.values[at], -1)
+
+
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray | _Ways:
     """States of the automaton of all substrings; entry ``state + symbol`` is the next state.
 
     States are named by the place of their row, the start is 0, and -1 is no way on.
@@ -129,6 +145,11 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     at = link[at]
                 link[target] = link[new] = copy
         last = new
+    if len(nexts) * width > DENSE_ENTRIES:
+        return _Ways({
+            state * width + symbol: target * width
+            for state, ways in enumerate(nexts) for symbol, target in ways.items()
+        })
     table = np.full((len(nexts), width), -1, np.int32)
     for state, ways in enumerate(nexts):
         for symbol, target in ways.items():
@@ -136,11 +157,11 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
     return table.reshape(-1)
 
 
-def _parse(table: np.ndarray, grid: np.ndarray, active: np.ndarray) -> np.ndarray:
+def _parse(table: np.ndarray | _Ways, grid: np.ndarray, active: np.ndarray) -> np.ndarray:
     """Phrases of each lane: the longest match each time; a symbol never seen is one phrase."""
-    state = np.zeros(grid.shape[1], np.int32)
+    state = np.zeros(grid.shape[1], np.int32 if isinstance(table, np.ndarray) else np.int64)
     count = np.zeros(grid.shape[1], np.int64)
-    fresh = np.maximum(table[: int(grid.max(initial=0)) + 1], 0)  # from the start
+    fresh = np.maximum(table.take(np.arange(int(grid.max(initial=0)) + 1)), 0)  # from the start
     for row, n in zip(grid, active):
         symbol, now = row[:n], state[:n]
         onward = table.take(now + symbol)
