@@ -30,11 +30,11 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 
 # Candidates for unseen identifiers: number groups, or words with a digit or an at sign.
 CANDIDATE = (
-    r"(?<![0-9A-Za-z])\(?[0-9][0-9().\x20-]{5,30}[0-9]"
-    r"|(?<![^\s\"'<(\[])[^\s0-9@\"'<(\[]{0,40}+[0-9@][^\s\"'<>()\[\],;]{3,60}"
+    r"(?<![0-9A-Za-z])\(?[0-9][0-9().\x20-]++"
+    r"|(?<![^\s\"'<(\[])[^\s0-9@\"'<(\[]*+[0-9@][^\s\"'<>()\[\],;]{3,}+"
 )
 CANDIDATE_NEEDS = "[0-9@]"
-TRAILING = ".,:;!?-%*#&$"
+TRAILING = ".,:;!?-%*#&$ ()"  # not a candidate's end
 # What a candidate must look like to count as one of a kind: weaker than the patterns above.
 LOOSE = {
     "email": r"^[^@\s]+@[^@\s]+$",
@@ -42,7 +42,6 @@ LOOSE = {
     "card": r"^[0-9](?:[\x20.-]?[0-9]){11,18}$",
     "phone": r"^\(?[0-9](?:[().\x20-]{0,3}[0-9]){6,14}$",
 }
-CONTEXT_CHARS = 64  # text before an identifier in which its two context words are looked for
 ROUNDS = 3
 LEAST_SEEDS = 3  # different known identifiers a context needs
 CONFIDENCE = 0.8
@@ -95,7 +94,7 @@ def _spans(text: Column, pattern: str, valid: Callable, needs: str, trailing: st
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         match = F.rtrim(pair["match"], F.lit(trailing)) if trailing else pair["match"]
-        words = F.regexp_extract(F.right(pair["gap"], F.lit(CONTEXT_CHARS)), r"(\S+\s+\S+)\s*$", 1)
+        words = F.regexp_extract(pair["gap"], r"(?<!\S)(\S++\s++\S++)\s*+$", 1)
         span = F.struct(
             start.alias("start"), (start + F.length(match)).alias("end"), match.alias("value"),
             F.lower(F.regexp_replace(words, r"\s+", " ")).alias("context"),

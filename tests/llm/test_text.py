@@ -154,6 +154,25 @@ def test_parsing_takes_longest_matches():
             assert got[k].tolist() == [count, 0]
 
 
+def test_alphabets_of_any_size(monkeypatch):
+    random = np.random.default_rng(4)
+    hangul = [chr(0xAC00 + k) for k in range(400)]
+    samples = {
+        "ko": " ".join("".join(random.choice(hangul, 3)) for _ in range(3_000)),
+        "en": "the quick brown fox jumps over the lazy dog and runs away " * 30,
+    }
+    assert len({c for c in samples["ko"]}) > 390
+    texts = [samples["ko"][1_000:1_400], "the lazy fox", samples["ko"][:90] + " fox", "日本 the"]
+    model = langid.LanguageModel(samples)
+    dense = model.phrases([model.symbols(t) for t in texts])
+    monkeypatch.setattr(langid, "DENSE_ENTRIES", 0)
+    sparse = langid.LanguageModel(samples)
+    assert (sparse.phrases([sparse.symbols(t) for t in texts]) == dense).all()
+    assert model.predict(texts)[0] == ["ko", "en", "ko", "en"]
+    # A part of a sample is one phrase for its language, whatever the other's alphabet.
+    assert dense[model.langs.index("ko")][0] == 1 and dense[model.langs.index("en")][1] == 2
+
+
 def test_language_id(spark, documents, odd):
     got = QUERIES["op7_language_id"](spark, DATA).join(documents.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in got if r.held_out]
@@ -315,6 +334,25 @@ def test_contexts_discover_unseen_identifiers(spark, odd, tmp_path):
     assert pii.find_pii(odd).count() == len(ODD) and pii.find_pii(odd.limit(0)).count() == 0
 
 
+def test_identifiers_and_contexts_of_any_length(spark):
+    cards = [f"4000 1234 {k:04d} 567{n}" for k in range(6) for n in range(10)]
+    seeds = [c for c in cards if valid("card", c)]
+    spaced = "4.0-0.0-1.2-3.4-0.0-0.1-5.6-7.9-1.2.3"  # 19 digits, 37 characters
+    word = "first." + "x" * 200 + "@" + "long-host" * 20  # an address without a dot after its at sign
+    far = " " * 120  # the two words before lie further back than that
+    texts = [f"Please charge card number {c} today." for c in seeds]
+    texts += [f"Please charge card number {spaced} today."]
+    mails = [f"You can write to {n}@mail.example.org about it." for n in ("ann", "bob", "cyd", "dan")]
+    texts += [*mails, f"You can write to {word} about it.", f"You can write{far}to{far}zed@host about it."]
+    texts += ["9 8 7 6 5 4 3 2 1 " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [(list(pii.KINDS)[f.kind], texts[r.doc_id][f.start:f.end]) for f in r.found] for r in pii.find_pii(docs).collect()}
+    n = len(seeds)
+    assert got[n] == [("card", spaced)]
+    assert got[n + 5] == [("email", word)] and got[n + 6] == [("email", "zed@host")]
+    assert all(not found for k, found in got.items() if k not in (n, n + 5, n + 6))
+
+
 def test_discovered_identifiers_induce_further_contexts(spark):
     digits = [(f"4000 1234 {k:04d} 567", last) for k in range(12) for last in range(10)]
     good = {d[:14]: d + str(n) for d, n in digits if valid("card", d + str(n))}
