@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kerbside.fixed_values import RAW_FILE_TEMPLATE
@@ -14,11 +13,15 @@ from kerbside.plans.checks import check_report
 from kerbside.plans.marts import dim_zones, fact_fhv_trips, fact_trips
 from kerbside.plans.staging import stage_fhv, stage_green, stage_yellow
 from kerbside.session import scratch_path
-from kerbside.sinks.files import remove_path, write_by_month
-from kerbside.sinks.tables import as_table, as_view
-from kerbside.sources.monthly import read_months, with_month_partitions
+from kerbside.sinks.manifest import land
+from kerbside.sinks.tables import as_view, rebuild_table
+from kerbside.sources.monthly import (
+    MONTH_PARTITIONS, month_partition, read_months, with_month_partitions,
+)
 from kerbside.sources.tables import Sources
 
+SAMPLE_PREFIX = "sample_"
+
 
 def ingest_months(
     spark: SparkSession,
@@ -36,23 +39,15 @@ def ingest_months(
 
     A month replaces what was landed for it before, so any range can be run again. The partition
     is the file's month: a stray row with another date stays with its file, and cannot displace
-    the month its date points to. A month whose file has no row any more is emptied.
+    the month its date points to. A month whose file has no row any more is emptied. The whole range
+    becomes visible in one step, to ``read_landed``; a run that dies has changed nothing.
     """
+    if not months:
+        return 0
     landed = with_month_partitions(
         read_months(spark, root, service, months, schema, template, strict)
     )
-    # Counted while writing: one number for each month asked for.
-    counter = Observation()
-    per_month = [
-        F.count_if((F.col("year") == int(m[:4])) & (F.col("month") == int(m[5:]))).alias(m)
-        for m in months
-    ]
-    counted = landed.observe(counter, *per_month) if months else landed
-    rows = write_by_month(counted, dest, ["year", "month"], mode="overwrite")
-    for month in months:
-        if not counter.get[month]:
-            remove_path(spark, f"{dest}/year={int(month[:4])}/month={int(month[5:])}")
-    return rows
+    return land(landed, dest, MONTH_PARTITIONS, replaced=[month_partition(m) for m in months])
 
 
 @dataclass(frozen=True)
@@ -77,13 +72,17 @@ def build_models(
 
     The inputs are the named sources ``green_tripdata``, ``yellow_tripdata``, ``fhv_tripdata``
     and the seed. With ``check``, the staged feeds are written to scratch once, checked, and the
-    facts are built from what was checked: a failing check leaves the old facts in place. A test
-    run builds from samples, so it saves nothing: all its models are views.
+    facts are built from what was checked: a failing check leaves the old facts in place, and so does
+    a build that dies. A test run builds from samples, so it saves nothing: all its models are views,
+    under names of their own (``SAMPLE_PREFIX``), so that no later build or question meets them.
     """
+    def view(df: DataFrame, name: str) -> DataFrame:
+        return as_view(df, f"{SAMPLE_PREFIX}{name}" if is_test_run else name)
+
     def table(df: DataFrame, name: str) -> DataFrame:
         if is_test_run:
-            return as_view(df, name)
-        return as_table(df, name, f"{tables_root}/{name}" if tables_root else None)
+            return view(df, name)
+        return rebuild_table(df, name, f"{tables_root}/{name}" if tables_root else None)
 
     def staged(stage, source: str) -> DataFrame:
         df = stage(sources.table(source), strict, is_test_run)
@@ -91,7 +90,7 @@ def build_models(
             spark, path = df.sparkSession, scratch_path(df.sparkSession, f"stg_{source}")
             df.write.parquet(path)
             df = spark.read.schema(df.schema).parquet(path)
-        return as_view(df, f"stg_{source}")
+        return view(df, f"stg_{source}")
 
     green = staged(stage_green, "green_tripdata")
     yellow = staged(stage_yellow, "yellow_tripdata")

@@ -390,6 +390,25 @@ ORACLES: dict[str, str] = {
     "csv_dirty_values": """
         SELECT CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS l_linenumber, count(*) AS n
         FROM lineitem GROUP BY 1""",
+    "inference_reasons": """
+        WITH t AS (
+            SELECT CAST(l_quantity AS VARCHAR) AS q,
+                   CASE WHEN l_linenumber = 7 THEN 'seven' ELSE CAST(l_linenumber AS VARCHAR) END AS n,
+                   strftime(l_shipdate, '%Y-%m-%d') AS d
+            FROM lineitem
+        )
+        SELECT 'l_quantity' AS column_name, 'double' AS data_type, kind AS passed_over,
+               (SELECT min(q) FROM t) AS reason
+        FROM (VALUES ('int'), ('bigint'), ('decimal(38,0)')) k(kind)
+        UNION ALL
+        SELECT 'l_shipdate', 'date', kind, (SELECT min(d) FROM t)
+        FROM (VALUES ('int'), ('bigint'), ('decimal(38,0)'), ('double')) k(kind)
+        UNION ALL
+        SELECT 'l_linenumber', 'string', kind,
+               (SELECT min(n) FROM t WHERE kind IN ('date', 'timestamp', 'boolean')
+                                        OR TRY_CAST(n AS DOUBLE) IS NULL)
+        FROM (VALUES ('int'), ('bigint'), ('decimal(38,0)'), ('double'), ('date'), ('timestamp'),
+                     ('boolean')) k(kind)""",
     "inferred_columns": f"""{_BASE}
         SELECT CAST(0 AS INTEGER) AS position, 'hvfhs_license_num' AS column_name,
                CASE WHEN count(TRY_CAST(hvfhs_license_num AS DOUBLE)) = 0
@@ -437,6 +456,7 @@ ORACLES: dict[str, str] = {
                strftime(pickup_datetime, '%Y-%m') AS file_month
         FROM trips WHERE service = 'green' AND year(pickup_datetime) = 1996""",
     "incremental_landing": _LANDED,
+    "landing_reordered_header": _LANDED,
     "ingest_audit": f"""{_BASE}
         SELECT {_FILE_MONTH} AS month_name, count(*) AS expected_rows,
                count(*) AS loaded_rows, CAST(100.0 AS DOUBLE) AS percent_done

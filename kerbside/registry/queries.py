@@ -29,6 +29,7 @@ from kerbside.plans.revenue import FEED_TIMES, monthly_zone_revenue, trips_by_se
 from kerbside.plans.staging import stage_fhv, stage_green, stage_yellow
 from kerbside.session import files_for, input_bytes, prepare, scratch_path
 from kerbside.sinks import files, tables
+from kerbside.sinks.manifest import read_landed
 from kerbside.sources import csv, monthly
 from kerbside.sources.star_schema import feed, input_paths, table, trips, zones
 from kerbside.sources.tables import (
@@ -173,10 +174,9 @@ def distinct_bases(spark, d):
 
 @query("bases_in_range")
 def bases_in_range(spark, d):
-    fhv = feed(spark, d, "fhv", ["dispatching_base_num", "pickup_datetime"])
-    return questions.trips_of_bases(
-        fhv, ["B00001", "B00007", "B00050"], "1996-01-01", "1996-03-31"
-    )
+    days = ("1996-01-01", "1996-03-31")
+    fhv = feed(spark, d, "fhv", ["dispatching_base_num", "pickup_datetime"], days)
+    return questions.trips_of_bases(fhv, ["B00001", "B00007", "B00050"], *days)
 
 
 @query("longest_trips")
@@ -326,7 +326,7 @@ def csv_reordered_header(spark, d):
     late = F.coalesce(F.hour("pickup_datetime") >= 12, F.lit(True))
     files.write_csv(rides.filter(~late), f"{path}/early.csv")
     files.write_csv(rides.filter(late).select(*reversed(rides.columns)), f"{path}/late.csv")
-    return csv.read_csv(spark, [f"{path}/early.csv", f"{path}/late.csv"], FHV_SCHEMA, strict=True)
+    return csv.read_csv(spark, [f"{path}/early.csv", f"{path}/late.csv"], FHV_SCHEMA)
 
 
 @query("csv_dirty_values")
@@ -336,7 +336,7 @@ def csv_dirty_values(spark, d):
     broken = F.when(F.col("l_linenumber") == 7, "seven").otherwise(F.col("l_linenumber").cast("string"))
     lines = table(spark, d, "lineitem").select("l_orderkey", broken.alias("l_linenumber"))
     files.write_csv(lines, path)
-    lenient = csv.read_csv(spark, path, "l_orderkey bigint, l_linenumber int")
+    lenient = csv.read_csv(spark, path, "l_orderkey bigint, l_linenumber int", strict=False)
     return lenient.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -348,7 +348,7 @@ def csv_pieces(spark, d):
     before = spark.conf.get(key)
     csv.set_piece_bytes(spark, 100_000)
     try:
-        small = csv.read_csv(spark, path, FHV_SCHEMA, strict=True)
+        small = csv.read_csv(spark, path, FHV_SCHEMA)
         # Written while the setting holds: a plan is only made when it runs.
         pieces = scratch_path(spark, "pieces")
         small.write.parquet(pieces)
@@ -375,7 +375,7 @@ def csv_row_index(spark, d):
     files.write_csv(rows.repartitionByRange(8, *columns).sortWithinPartitions(*columns), source)
     files.index_csv(spark, source, path)
     types = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double"
-    return csv.read_csv(spark, path, f"row_index bigint, {types}", strict=True)
+    return csv.read_csv(spark, path, f"row_index bigint, {types}")
 
 
 @query("inferred_columns")
@@ -388,6 +388,20 @@ def inferred_columns(spark, d):
     )
 
 
+@query("inference_reasons")
+def inference_reasons(spark, d):
+    """For each column, the types that inference passed over, and the first value that ruled each out."""
+    path = scratch_path(spark, "reasons")
+    broken = F.when(F.col("l_linenumber") == 7, "seven").otherwise(F.col("l_linenumber").cast("string"))
+    lines = table(spark, d, "lineitem").select("l_quantity", broken.alias("l_linenumber"), "l_shipdate")
+    files.write_csv(lines.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd")), path)
+    found = csv.inferred_types(csv.read_csv_strings(spark, path))
+    return spark.createDataFrame(
+        [(t.name, t.kind, kind, value) for t in found for kind, (value, _) in t.broken.items()],
+        "column_name string, data_type string, passed_over string, reason string",
+    )
+
+
 @query("table_ddl")
 def table_ddl_of_csv(spark, d):
     """DDL of a table for a CSV whose types are inferred over all rows."""
@@ -450,20 +464,26 @@ def _file_month():
     return month_name(F.coalesce("pickup_datetime", "dropoff_datetime"))
 
 
-def _monthly_files(spark, d) -> tuple[str, list[str]]:
+def _monthly_files(spark, d, turned: bool = False) -> tuple[str, list[str]]:
     """The fhv feed as one CSV directory per month, and the months it has.
 
-    A trip without a pickup time is in the file of its drop-off.
+    A trip without a pickup time is in the file of its drop-off. With ``turned``, files of every other
+    month have their columns the other way round.
     """
     root = scratch_path(spark, "raw")
     rides = feed(spark, d, "fhv").withColumn("file_month", _file_month())
-    (
-        rides.hint("rebalance", "file_month")
-        .write.partitionBy("file_month")
-        .option("header", True)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(f"{root}/fhv")
-    )
+    odd = F.substring("file_month", 6, 2).cast("int") % 2 == 1
+    parts = [rides]
+    if turned:
+        parts = [rides.filter(odd), rides.filter(~odd).select(*reversed(rides.columns))]
+    for part in parts:
+        (
+            part.hint("rebalance", "file_month")
+            .write.mode("append").partitionBy("file_month")
+            .option("header", True)
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .csv(f"{root}/fhv")
+        )
     # One row per calendar month, from the names of the folders.
     written = spark.read.text(f"{root}/fhv").select("file_month").distinct().collect()
     return root, sorted(str(r[0])[:7] for r in written)
@@ -474,7 +494,7 @@ def month_templated_scan(spark, d):
     root, months = _monthly_files(spark, d)
     span = monthly.month_range(months[0], months[-1])
     present = [m for m in span if m in set(months)]
-    return monthly.read_months(spark, root, "fhv", present, FHV_SCHEMA, MONTH_DIRS, strict=True)
+    return monthly.read_months(spark, root, "fhv", present, FHV_SCHEMA, MONTH_DIRS)
 
 
 @query("backfill_twice")
@@ -484,7 +504,7 @@ def backfill_twice(spark, d):
     dest = f"{root}/landed"
     for _ in range(2):
         ingest_months(spark, "fhv", months, root, FHV_SCHEMA, dest, MONTH_DIRS)
-    return spark.read.parquet(dest)
+    return read_landed(spark, dest)
 
 
 @query("backfill_corrected_month")
@@ -503,7 +523,7 @@ def backfill_corrected_month(spark, d):
             .csv(f"{root}/fhv/file_month={month}")
         )
     ingest_months(spark, "fhv", [emptied, corrected], root, FHV_SCHEMA, dest, MONTH_DIRS)
-    return spark.read.parquet(dest)
+    return read_landed(spark, dest)
 
 
 @query("year_folder_scan")
@@ -528,7 +548,16 @@ def incremental_landing(spark, d):
     dest, checkpoint = f"{root}/landed", f"{root}/checkpoint"
     for _ in range(2):
         land_new_files(spark, f"{root}/fhv", FHV_SCHEMA, dest, checkpoint, MONTH_DIRS)
-    return spark.read.parquet(dest)
+    return read_landed(spark, dest)
+
+
+@query("landing_reordered_header")
+def landing_reordered_header(spark, d):
+    """One stream over files whose columns stand in two orders."""
+    root, _ = _monthly_files(spark, d, turned=True)
+    dest = f"{root}/landed"
+    land_new_files(spark, f"{root}/fhv", FHV_SCHEMA, dest, f"{root}/checkpoint", MONTH_DIRS)
+    return read_landed(spark, dest)
 
 
 @query("ingest_audit")
@@ -540,7 +569,7 @@ def ingest_audit(spark, d):
     source = feed(spark, d, "fhv", ["pickup_datetime", "dropoff_datetime"]).select(
         _file_month().alias("month_name")
     )
-    landed = spark.read.parquet(dest).select(
+    landed = read_landed(spark, dest).select(
         F.format_string("%04d-%02d", "year", "month").alias("month_name")
     )
     return load_audit(source, landed, "month_name")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
-from itertools import accumulate
+from itertools import accumulate, islice
+from operator import add
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import RDD
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,71 +44,149 @@ def read_csv(
     spark: SparkSession,
     paths: Paths,
     schema: T.StructType | str,
-    strict: bool = False,
+    strict: bool = True,
     na_values: list[str] | None = None,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Headered CSV with a declared schema, whose columns are found by name in each file's header.
 
     Files may differ in the order of their columns and have others besides; a declared column that
     a header lacks is an error. Names match in any case. ``strict`` fails the job on a value that
-    does not parse; otherwise it becomes NULL.
+    does not parse; otherwise it becomes NULL. ``also`` adds columns made of the scan's own, such as
+    ``_metadata``.
     """
     declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     wanted = {f.name.lower(): f for f in declared}
     reader = spark.read.option("header", True)
     reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    more = [column.alias(name) for name, column in (also or {}).items()]
     frames = []
     for header, files in files_by_header(spark, paths).items():
         missing = wanted.keys() - {name.lower() for name in header}
-        if header and missing:
-            raise ValueError(f"no column {sorted(missing)} in {files[0]}")
+        if missing:
+            raise ValueError(f"no column {sorted(missing)} in {files or paths}")
         fields = [wanted.get(n.lower(), T.StructField(n, T.StringType())) for n in header]
-        frames.append((T.StructType(fields) if header else declared, files))
-    if len(frames) == 1:
-        scan = reader.schema(frames[0][0]).csv(paths)
-        if scan.columns[: len(declared)] == declared.names:
-            return _with_na(scan, na_values)
-        return _with_na(scan.select(*declared.names), na_values)
-    scans = [reader.schema(own).csv(files).select(*declared.names) for own, files in frames]
-    return _with_na(reduce(DataFrame.unionAll, scans), na_values)
-
-
-def files_by_header(spark: SparkSession, paths: Paths) -> dict[tuple[str, ...], list[str]]:
-    """The files of ``paths`` by their column names; reads one line of each."""
-    files = [unquote(f) for f in spark.read.text(paths).inputFiles()]
-    if not files:
-        return {(): paths if isinstance(paths, list) else [paths]}
-    with ThreadPoolExecutor(min(16, len(files))) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, f), files))
-    found: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, lines):
-        if line is not None:  # an empty file has no rows either
-            found.setdefault(tuple(next(csv.reader([line]), [])), []).append(file)
-    return found or {(): files}
-
-
-def _first_line(spark: SparkSession, file: str) -> str | None:
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(file)
-    stream = location.getFileSystem(spark._jsc.hadoopConfiguration()).open(location)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark._jsc.hadoopConfiguration()
-    ).getCodec(location)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-        codec.createInputStream(stream) if codec else stream, "UTF-8"
-    ))
-    try:
-        line = reader.readLine()
-        return line.removeprefix("\ufeff") if line is not None else None
-    finally:
-        reader.close()
+        scan = reader.schema(T.StructType(fields)).csv(files or paths)
+        whole = not also and files is None and scan.columns == declared.names
+        frames.append(scan if whole else scan.select(*declared.names, *more))
+    if not frames:  # no file has a record
+        frames.append(reader.schema(declared).csv(paths).select("*", *more))
+    return _with_na(reduce(DataFrame.unionAll, frames), na_values)
+
+
+def files_by_header(
+    spark: SparkSession, paths: Paths
+) -> dict[tuple[str, ...], list[str] | None]:
+    """The files of ``paths`` by their column names, and None for "all of them" under a single header.
+
+    Only where headers differ do file names reach the driver, as they must to be read apart.
+    """
+    found = file_headers(spark, paths)
+    headers = found.map(lambda of: (of[1], 1)).reduceByKey(add, 8).keys().collect()
+    if len(headers) < 2:
+        return dict.fromkeys(headers)
+    files: dict[tuple[str, ...], list[str] | None] = {}
+    for path, header in sorted(found.collect()):
+        files.setdefault(header, []).append(unquote(path))
+    return files
+
+
+def file_headers(spark: SparkSession, paths: Paths) -> RDD[tuple[str, tuple[str, ...]]]:
+    """Path and column names of each file that has a record: its first one, line breaks in quotes
+    included. Executors open the files, each in a task of its own, and read no further than that.
+
+    A task that ends before its input does has no form in the DataFrame API.
+    """
+    own = spark.newSession()  # its settings are not the caller's
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    # More fields than the one declared: the record comes as it stands.
+    records = (
+        own.read.schema("only string, record string").option("columnNameOfCorruptRecord", "record")
+        .option("multiLine", True).csv(paths)
+        .select(F.col("_metadata.file_path").alias("path"), F.coalesce("record", "only").alias("record"))
+    )
+    return records.rdd.mapPartitions(_first_record)
+
+
+def _first_record(rows: Iterator[Row]) -> Iterator[tuple[str, tuple[str, ...]]]:
+    for row in islice(rows, 1):
+        yield row.path, tuple(next(csv.reader([row.record.removeprefix("\ufeff")]), []))
+
+
+# --- inference ------------------------------------------------------------------
+
+_WHOLE = r"^[+-]?[0-9]+$"
+_NUMBER = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Inf(inity)?)$"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+
+# From the narrowest type on: whether a text is a value of it.
+LATTICE = {
+    "int": lambda v: v.rlike(_WHOLE) & v.try_cast("int").isNotNull(),
+    "bigint": lambda v: v.rlike(_WHOLE) & v.try_cast("bigint").isNotNull(),
+    "decimal(38,0)": lambda v: v.rlike(_WHOLE) & v.try_cast("decimal(38,0)").isNotNull(),
+    "double": lambda v: v.rlike(_NUMBER),
+    "date": lambda v: v.rlike(_DATE) & v.try_cast("date").isNotNull(),
+    "timestamp": lambda v: v.rlike(_TIME) & v.try_cast("timestamp").isNotNull(),
+    "boolean": lambda v: F.lower(v).isin("true", "false"),
+}
+
+
+@dataclass(frozen=True)
+class InferredType:
+    """A column's type, and the first value, as text, that each narrower type lacks, with its file."""
+
+    name: str
+    kind: str
+    broken: dict[str, tuple[str, str]]
+
+
+def inferred_types(strings: DataFrame) -> list[InferredType]:
+    """The narrowest type of each text column, in one aggregation over a file scan.
+
+    For every column and type, tasks keep the least value that does not fit; the least of those
+    is the reason why the type was passed over. A column without any value is text.
+    """
+    path = F.col("_metadata.file_path")
+
+    def breaks(value: Column, fits) -> Column:
+        return F.min(F.when(value.isNotNull() & ~fits(value), F.struct(value.alias("value"), path.alias("file"))))
+
+    values = [F.nullif(F.col(f"`{c}`"), F.lit("")) for c in strings.columns]
+    row = strings.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
+        *[
+            breaks(v, fits).alias(f"b{i}_{k}")
+            for i, v in enumerate(values) for k, fits in enumerate(LATTICE.values())
+        ],
+    ).first()
+    found = []
+    for i, name in enumerate(strings.columns):
+        broken = {}
+        for k, kind in enumerate(LATTICE):
+            reason = row[f"b{i}_{k}"]
+            if reason is None:
+                break
+            broken[kind] = (reason.value, unquote(reason.file))
+        else:
+            kind = "string"
+        found.append(InferredType(name, kind if row[f"n{i}"] else "string", broken))
+    return found
+
+
+def inferred_schema(spark: SparkSession, paths: Paths) -> T.StructType:
+    """Types inferred from all rows, in one scan."""
+    return T.StructType([
+        T.StructField(t.name, T.DataType.fromDDL(t.kind))
+        for t in inferred_types(read_csv_strings(spark, paths))
+    ])
 
 
 def read_csv_inferred(
     spark: SparkSession, paths: Paths, na_values: list[str] | None = None
 ) -> DataFrame:
     """Types inferred from all rows: one extra pass over the files."""
-    reader = spark.read.option("header", True).option("inferSchema", True)
+    reader = spark.read.option("header", True).schema(inferred_schema(spark, paths))
     return _with_na(reader.csv(paths), na_values)
 
 
@@ -113,13 +194,13 @@ def sampled_schema(
     spark: SparkSession, path: str, rows: int = INFER_SAMPLE_ROWS
 ) -> T.StructType:
     """Types inferred from the header and the first ``rows`` rows of one file."""
-    first_file = sorted(spark.read.text(path).inputFiles())[0]
+    first_file = min(spark.read.text(path).inputFiles())
     # Bounded by `rows`, whatever the file's size. Collecting a limit keeps the header in front.
     lines = [r.value for r in spark.read.text(first_file).limit(rows + 1).collect()]
     sample = scratch_path(spark, "sample")
     head = spark.createDataFrame(pa.table({"value": pa.array(lines, pa.string())}))
     head.coalesce(1).write.text(sample)
-    return read_csv_inferred(spark, sample).schema
+    return inferred_schema(spark, sample)
 
 
 def read_csv_sampled(
@@ -151,7 +232,7 @@ def read_csv_override(
     spark: SparkSession, paths: Paths, overrides: dict[str, str], strict: bool = True
 ) -> DataFrame:
     """Inferred types, except for the named columns (a column with no value has none to infer)."""
-    schema = override_types(read_csv_inferred(spark, paths).schema, overrides)
+    schema = override_types(inferred_schema(spark, paths), overrides)
     return read_csv(spark, paths, schema, strict)
 
 

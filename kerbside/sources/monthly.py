@@ -6,13 +6,15 @@ import posixpath
 import re
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.fixed_values import LAKE_FILE_TEMPLATE, RAW_FILE_TEMPLATE
 from kerbside.sources.csv import read_csv
 
+MONTH_PARTITIONS = ["year", "month"]
+
 
 def month_range(first: str, last: str) -> list[str]:
     """Months from ``first`` to ``last`` (``yyyy-MM``), both included."""
@@ -45,11 +47,11 @@ def read_months(
     months: list[str],
     schema: T.StructType | str,
     template: str = RAW_FILE_TEMPLATE,
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """All months in one scan, with ``file_month`` taken from each row's file path."""
-    scan = read_csv(spark, month_paths(root, service, months, template), schema, strict)
-    return with_file_month(scan, template)
+    paths = month_paths(root, service, months, template)
+    return read_csv(spark, paths, schema, strict, also={"file_month": file_month(template)})
 
 
 def read_month_files(
@@ -60,19 +62,24 @@ def read_month_files(
 
     Only the files of the given months are opened; ``file_month`` comes from each row's file path.
     """
-    return with_file_month(spark.read.parquet(*month_paths(root, service, months, template)), template)
+    scan = spark.read.parquet(*month_paths(root, service, months, template))
+    return scan.withColumn("file_month", file_month(template))
 
 
-def with_file_month(scan: DataFrame, template: str = RAW_FILE_TEMPLATE) -> DataFrame:
-    """Add the month at the template's place in the path of the file a row was read from."""
+def file_month(template: str = RAW_FILE_TEMPLATE) -> Column:
+    """The month at the template's place in the path of the file a row was read from."""
     part = next(p for p in reversed(template.split("/")) if "{month}" in p)
     pattern = re.escape(part)
     for placeholder, text in (
         ("month", r"(\d{4}-\d{2})"), ("year", r"\d{4}"), ("service", "[^/]*"),
     ):
         pattern = pattern.replace(re.escape("{%s}" % placeholder), text)
-    path = F.col("_metadata.file_path")
-    return scan.withColumn("file_month", F.regexp_extract(path, f"/{pattern}(/|$)", 1))
+    return F.regexp_extract(F.col("_metadata.file_path"), f"/{pattern}(/|$)", 1)
+
+
+def month_partition(month: str) -> str:
+    """Where the rows of a file of that month (``yyyy-MM``) land."""
+    return f"year={int(month[:4])}/month={int(month[5:])}"
 
 
 def with_month_partitions(df: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.predicates import between_days
+
 SERVICE_FLAGS = {"green": "A", "yellow": "R", "fhv": "N"}
 
 ZONE_COLUMNS = ["LocationID", "Borough", "Zone", "service_zone"]
@@ -99,8 +101,13 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
 
 
 def trips(
-    spark: SparkSession, data_dir: str, columns: Iterable[str], service: str | None = None
+    spark: SparkSession, data_dir: str, columns: Iterable[str], service: str | None = None,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
+    """Trips with the given columns; with ``days``, only those picked up between two days.
+
+    The days are compared with the bare order date, so that the range reaches its scan.
+    """
     columns = list(columns)
     lines = table(spark, data_dir, "lineitem")
     if service is not None:
@@ -125,19 +132,24 @@ def trips(
     if from_supplier:
         supplier = table(spark, data_dir, "supplier").select("s_suppkey", *from_supplier)
         frame = frame.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    if days:
+        frame = frame.filter(between_days(F.col("pickup_datetime"), *days))
     if "pickup_datetime" in columns and service not in ("green", "yellow"):
         frame = frame.withColumn("pickup_datetime", F.expr(_PICKUP))
+    if days:
+        frame = frame.filter(F.col("pickup_datetime").isNotNull())
     return frame.select(*columns)
 
 
 def feed(
-    spark: SparkSession, data_dir: str, name: str, columns: Iterable[str] | None = None
+    spark: SparkSession, data_dir: str, name: str, columns: Iterable[str] | None = None,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """A raw feed under its own column names, whole or restricted to some of them."""
+    """A raw feed under its own column names, whole or restricted to some of them, or to some days."""
     names = FEED_COLUMNS[name]
     wanted = list(columns) if columns is not None else list(names)
     service = name if name in SERVICE_FLAGS else None
-    frame = trips(spark, data_dir, dict.fromkeys(names[c] for c in wanted), service)
+    frame = trips(spark, data_dir, dict.fromkeys(names[c] for c in wanted), service, days)
     return frame.select(*[F.col(names[c]).alias(c) for c in wanted])
 
 

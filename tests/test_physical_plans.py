@@ -64,6 +64,8 @@ def test_date_predicates_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,1996-01-15T00:00" in text
     assert "LessThan(o_orderdate,1" in text
     assert "EqualTo(l_returnflag,R)" in text
+    fhv = plan(QUERIES["bases_in_range"](spark, DATA))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00" in fhv and "LessThan(o_orderdate,1" in fhv
 
 
 def test_dedup_limits_keys_before_the_shuffle(spark):

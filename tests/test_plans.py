@@ -231,10 +231,37 @@ def test_build_saves_facts_and_enforces_checks(spark, tmp_path):
     assert spark.table("fact_trips").count() == 3
     build_models(Sources(spark, paths), tables_root=str(tmp_path / "out"))
     assert spark.table("fact_trips").count() == 2
-    # A run on samples saves nothing: its models are views.
-    before = {p.name for p in (tmp_path / "out").iterdir()}
+    # A run on samples saves nothing, and no later build or question meets its views.
+    def saved():
+        return {n: sorted(map(str, spark.table(n).collect())) for n in ("dim_zones", "fact_trips", "fact_fhv_trips")}
+
+    before, files = saved(), sorted(p for p in (tmp_path / "out").rglob("*"))
     sampled = build_models(Sources(spark, paths), is_test_run=True, tables_root=str(tmp_path / "out"))
-    assert sampled.fact_trips.count() == 2
-    assert {p.name for p in (tmp_path / "out").iterdir()} == before
-    spark.catalog.dropTempView("fact_trips")
-    assert spark.table("fact_trips").count() == 2
+    assert sampled.fact_trips.count() == 2 == spark.table("sample_fact_trips").count()
+    assert saved() == before and sorted(p for p in (tmp_path / "out").rglob("*")) == files
+    assert spark.table("stg_yellow_tripdata").count() == 2
+    build_models(Sources(spark, paths), tables_root=str(tmp_path / "out"))
+    assert saved() == before
+    for name in [t.name for t in spark.catalog.listTables(pattern="sample_*")]:
+        spark.catalog.dropTempView(name)
+
+
+def test_a_build_that_dies_leaves_the_old_facts(spark, tmp_path, monkeypatch):
+    paths = {}
+    for name, df in (
+        ("green_tripdata", feed(spark, "green", {})), ("yellow_tripdata", feed(spark, "yellow", {})),
+        ("fhv_tripdata", feed(spark, "fhv", {})), ("taxi_zone_lookup", zones(spark)),
+    ):
+        paths[name] = str(tmp_path / name)
+        df.write.parquet(paths[name])
+    root = str(tmp_path / "out")
+    build_models(Sources(spark, paths), tables_root=root)
+    whole = spark.table("fact_trips").collect()
+
+    def broken(*args):
+        return fact_trips(*args).withColumn("vendorid", F.raise_error(F.lit("broken")).cast("int"))
+
+    monkeypatch.setattr("kerbside.plans.build.fact_trips", broken)
+    with pytest.raises(Exception, match="broken"):
+        build_models(Sources(spark, paths), tables_root=root)
+    assert spark.table("fact_trips").collect() == whole
