@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,42 @@ def ingest_months(
     return land(landed, dest, MONTH_PARTITIONS, replaced=[month_partition(m) for m in months])
 
 
+@dataclass(frozen=True)
+class LoadProgress:
+    """One landed part of a range of months: its rows and time, and how much of the range is done."""
+
+    months: tuple[str, ...]
+    rows: int
+    seconds: float
+    months_done: int
+    percent_done: float
+
+
+def ingest_in_parts(
+    spark: SparkSession,
+    service: str,
+    parts: list[list[str]],
+    root: str,
+    schema: T.StructType | str,
+    dest: str,
+    template: str = RAW_FILE_TEMPLATE,
+    strict: bool = True,
+) -> Iterator[LoadProgress]:
+    """Land a long range part by part (years, say), and report on each as soon as it is visible.
+
+    Nothing of a part lands before its turn is asked for. Rows are counted while they are written. A
+    part that fails leaves those before it landed; the range can be run again from any part on.
+    """
+    total, done = sum(map(len, parts)), 0
+    for part in parts:
+        start = time.monotonic()
+        rows = ingest_months(spark, service, part, root, schema, dest, template, strict)
+        done += len(part)
+        yield LoadProgress(
+            tuple(part), rows, time.monotonic() - start, done, 100.0 * done / total if total else 100.0
+        )
+
+
 @dataclass(frozen=True)
 class Models:
     stg_green_tripdata: DataFrame

@@ -457,6 +457,17 @@ ORACLES: dict[str, str] = {
         FROM trips WHERE service = 'green' AND year(pickup_datetime) = 1996""",
     "incremental_landing": _LANDED,
     "landing_reordered_header": _LANDED,
+    "ingest_progress": f"""{_BASE}, m AS (
+            SELECT {_FILE_MONTH} AS month, count(*) AS n FROM trips WHERE service = 'fhv' GROUP BY 1
+        ), y AS (
+            SELECT min(month) AS first_month, max(month) AS last_month,
+                   CAST(sum(n) AS BIGINT) AS loaded_rows, count(*) AS months
+            FROM m GROUP BY substr(month, 1, 4)
+        )
+        SELECT first_month, last_month, loaded_rows, true AS timed,
+               CAST(100.0 * sum(months) OVER (ORDER BY first_month) AS DOUBLE)
+               / sum(months) OVER () AS percent_done
+        FROM y""",
     "ingest_audit": f"""{_BASE}
         SELECT {_FILE_MONTH} AS month_name, count(*) AS expected_rows,
                count(*) AS loaded_rows, CAST(100.0 AS DOUBLE) AS percent_done

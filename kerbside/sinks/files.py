@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.fixed_values import DEFAULT_FILES
+from kerbside.fixed_values import DEFAULT_FILES, LAKE_FILE_TEMPLATE
 from kerbside.operators.quality import observed_rows
 from kerbside.sources.csv import (
     add_row_index, read_csv, read_csv_inferred, read_csv_override, read_csv_strings,
 )
+from kerbside.sources.monthly import month_path
 
 
 def write_repartitioned(df: DataFrame, path: str, files: int = DEFAULT_FILES) -> None:
@@ -111,6 +114,43 @@ def write_by_month(
     return counter.get["rows"]
 
 
+def write_month_files(
+    df: DataFrame, root: str, service: str, month: str = "file_month",
+    template: str = LAKE_FILE_TEMPLATE,
+) -> list[str]:
+    """Lay a service's rows out as one Parquet path a month, named by ``template``; returns the months.
+
+    All months are written by one job, an outsized one by several tasks, into a folder that readers
+    pass over. Each month's files then take their place by a rename, in the stead of what was there,
+    so a reader finds a month as it was or as it is. Other months and services stay untouched; a row
+    without a month is an error, before anything is replaced. The month's column goes into the name.
+    """
+    spark = df.sparkSession
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    named = F.coalesce(F.col(month), F.raise_error(F.lit("a row has no month")).cast("string"))
+    try:
+        (
+            df.withColumn(month, named).hint("rebalance", month)
+            .write.partitionBy(month).parquet(f"{staging}/new")
+        )
+        # A name a calendar month.
+        folders = _folders(spark, f"{staging}/new", month)
+        for name in folders:
+            target = month_path(template, root, service, name)
+            if path_exists(spark, target):
+                rename_path(spark, target, f"{staging}/old/{name}")
+            rename_path(spark, f"{staging}/new/{month}={name}", target)
+    finally:
+        remove_path(spark, staging)
+    return folders
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    location = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(location)
+    return sorted(s.getPath().getName().partition("=")[2] for s in found or ())
+
+
 def with_year_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
 

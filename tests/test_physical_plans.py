@@ -33,7 +33,8 @@ PURE = [n for n in QUERIES if n not in {
     "partitioned_layout", "one_year_scan", "misplaced_rows", "month_templated_scan", "month_tables",
     "table_replace_append", "external_table", "seed_table", "write_if_absent", "csv_to_parquet",
     "csv_row_index", "inferred_columns", "parquet_repartition_roundtrip",
-    "backfill_corrected_month", "year_folder_scan",
+    "backfill_corrected_month", "year_folder_scan", "landing_reordered_header", "ingest_progress",
+    "inference_reasons",
 } and not n.startswith("csv_")]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside import session
 from kerbside.fixed_values import FHVHV_SCHEMA, FHV_SCHEMA, LAKE_FILE_TEMPLATE
-from kerbside.plans.build import ingest_months
+from kerbside.plans.build import ingest_in_parts, ingest_months
 from kerbside.sinks import files, jdbc as jdbc_sink, manifest, tables
 from kerbside.sinks.manifest import (
     CommitConflict, commit_manifest, land, read_landed, read_manifest, remove_unnamed,
@@ -126,6 +126,48 @@ def test_month_named_parquet_in_year_folders(spark, tmp_path):
     ]
 
 
+def test_months_of_services_and_years_are_named_files(spark, tmp_path):
+    root = str(tmp_path / "lake")
+
+    def rows(*months):
+        return spark.createDataFrame([(m, i) for m, n in months for i in range(n)], "file_month string, id int")
+
+    assert files.write_month_files(rows(("2020-01", 2), ("2020-12", 3), ("2021-01", 4)), root, "green") == [
+        "2020-01", "2020-12", "2021-01"
+    ]
+    files.write_month_files(rows(("2020-01", 9)), root, "yellow")
+    names = {str(p.relative_to(root)) for p in Path(root).glob("*/*/*")}
+    assert names == {
+        "green/2020/green_taxi_2020-01.parquet", "green/2020/green_taxi_2020-12.parquet",
+        "green/2021/green_taxi_2021-01.parquet", "yellow/2020/yellow_taxi_2020-01.parquet",
+    }
+    year = monthly.read_month_files(spark, root, "green", ["2020-01", "2020-12"])
+    assert {Path(f).parent.parent.name for f in year.inputFiles()} == {"2020"}
+    assert all("/green/" in f for f in year.inputFiles())
+    counts = lambda df: {r.file_month: r["count"] for r in df.groupBy("file_month").count().collect()}
+    assert counts(year) == {"2020-01": 2, "2020-12": 3}
+    # A month again replaces that month; a row without one leaves all as it was.
+    files.write_month_files(rows(("2020-12", 1)), root, "green")
+    with pytest.raises(Exception, match="no month"):
+        files.write_month_files(rows(("2020-01", 5), (None, 1)), root, "green")
+    assert counts(monthly.read_month_files(spark, root, "green", ["2020-01", "2020-12"])) == {"2020-01": 2, "2020-12": 1}
+    assert not list(Path(root).glob("_*"))
+
+
+def test_progress_is_told_before_the_end(spark, tmp_path):
+    raw, dest = tmp_path / "raw", str(tmp_path / "lake")
+    for month, n in (("2019-11", 2), ("2019-12", 3), ("2020-01", 4)):
+        fhv_file(raw, month, n)
+    parts = [["2019-11", "2019-12"], ["2020-01"]]
+    progress = ingest_in_parts(spark, "fhv", parts, str(raw), FHV_SCHEMA, dest)
+    first = next(progress)
+    assert (first.months, first.rows, first.months_done) == (("2019-11", "2019-12"), 5, 2)
+    assert first.seconds > 0 and round(first.percent_done, 2) == 66.67
+    assert read_landed(spark, dest).count() == 5  # the next part has not begun
+    (last,) = progress
+    assert (last.rows, last.percent_done) == (4, 100.0) and read_landed(spark, dest).count() == 9
+
+
 def test_declared_schema_strict_or_lenient(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text(
