@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import cache
 
 import regex
@@ -40,6 +41,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 class _Cached(dict):
@@ -70,8 +72,12 @@ class WordEncoder:
         self._pieces = _Cached(self._piece, most)
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return b"".join(t.id.to_bytes(4, "little") for t in self._model.tokenize(letters))
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", BYTE_LETTERS[32])
+        else:
+            letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [t.id for t in self._model.tokenize(letters)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class LowerWords(WordEncoder):
@@ -108,7 +114,7 @@ class SpacedWords(WordEncoder):
             rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
         )
         self._find = fine.findall
-        self._words = _Cached(self._text, most)
+        self._words = _Cached(self._word, most)
 
     def encode(self, text: str, lead: str = "") -> bytes:
         """The ids of ``lead + text``; ``lead`` is a space or nothing."""
@@ -123,6 +129,12 @@ class SpacedWords(WordEncoder):
             text = text.replace(".", CUT + ".").replace(",", CUT + ",")
         return b"".join(map(self._words.__getitem__, text.split(CUT)))
 
+    def _word(self, word: str) -> bytes:
+        bare = word[1:] if word.startswith(" ") else word
+        if bare.isalpha():  # one piece, which need not be looked for nor kept twice
+            return self._piece(word)
+        return self._text(word)
+
     def _text(self, text: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self._find(text)))
 
