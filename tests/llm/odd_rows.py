@@ -10,4 +10,7 @@ ODD = [
     (None, "no id here"), (None, "no id here"), (8, "12345 !!! ???"), (9, "Ünïcödé \U0001F600 text"),
     (10, "a\x00b\tc\r\nd"),
 ]
-CLASHING = ["row", "text_key", "word", "words", "found", "start", "fingerprint", "component_id", "pack", "n"]
+CLASHING = [
+    "row", "text_key", "word", "words", "found", "start", "fingerprint", "component_id", "pack", "n", "gone_id",
+    "found_id", "found_key", "hit_id", "hit_key", "root", "key", "ids", "pairs", "decoded", "row_no",
+]
