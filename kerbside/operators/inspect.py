@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 
@@ -13,4 +15,6 @@ def schema_rows(df: DataFrame) -> list[tuple[int, str, str, bool]]:
 
 
 def table_ddl(df: DataFrame, name: str) -> str:
-    return f"CREATE TABLE {name} ({df.schema.toDDL()})"
+    """The statement that makes a table of these columns; parts of its name are quoted where they must."""
+    parts = [p if re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", p) else f"`{p.replace('`', '``')}`" for p in name.split(".")]
+    return f"CREATE TABLE {'.'.join(parts)} ({df.schema.toDDL()})"

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from kerbside.fixed_values import PAYMENT_LABELS
+
+_LABELS = " ".join(f"WHEN {code} THEN '{label}'" for code, label in PAYMENT_LABELS.items())
+_PAYMENT_LABEL = f"CASE payment_type {_LABELS} END"
+
 # Trips and zones as the feeds define them. Every statement starts with these.
 _BASE = """
 WITH zones AS (
@@ -80,9 +85,7 @@ def _staged_metered(name: str, service: str, trip_type: str) -> str:
            {_numeric('improvement_surcharge')} AS improvement_surcharge,
            {_numeric('total_amount')} AS total_amount,
            CAST(payment_type AS INTEGER) AS payment_type,
-           CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
-                WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip'
-           END AS payment_type_description,
+           {_PAYMENT_LABEL} AS payment_type_description,
            {_numeric('congestion_surcharge')} AS congestion_surcharge
     FROM (
         SELECT *, row_number() OVER (
@@ -340,10 +343,7 @@ ORACLES: dict[str, str] = {
     "base_id_encoding": _ENCODED,
     "base_id_encoding_pandas": _ENCODED,
     "payment_label_counts": f"""{_BASE}
-        SELECT CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash'
-                    WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown'
-                    ELSE 'Voided trip' END AS label,
-               count(*) AS trips
+        SELECT {_PAYMENT_LABEL} AS label, count(*) AS trips
         FROM trips WHERE payment_type BETWEEN 1 AND 6 GROUP BY 1""",
     "dq_unique": f"""{_STAGED}
         SELECT tripid, count(*) AS n
@@ -489,3 +489,6 @@ ORACLES: dict[str, str] = {
                  "PULocationID" NULLS FIRST, "DOLocationID" NULLS FIRST, "SR_Flag" NULLS FIRST
         LIMIT 20""",
 }
+ORACLES["dq_enforced"] = f"""
+    SELECT model || '.' || "column" || ' ' || "check" || ': ' || failing_rows AS refused
+    FROM ({ORACLES["dq_report"]}) WHERE severity = 'error' AND failing_rows > 0"""

@@ -17,7 +17,7 @@ from kerbside.functions import encode_base_pandas, month_name
 from kerbside.operators.aggregates import exact_sum
 from kerbside.operators.inspect import schema_rows, table_ddl
 from kerbside.operators.quality import (
-    load_audit, missing_values, repeated_values, unaccepted_values, unmatched_values,
+    DataCheckError, enforce, load_audit, missing_values, repeated_values, unaccepted_values, unmatched_values,
 )
 from kerbside.operators.topn import preview
 from kerbside.plans import questions
@@ -285,6 +285,17 @@ def dq_report(spark, d):
     return check_report(_staged(spark, d), known_zones(dim_zones(zones(spark, d))))
 
 
+@query("dq_enforced")
+def dq_enforced(spark, d):
+    """What a build over these feeds is refused for: failing checks of severity ``error``."""
+    refused = []
+    try:
+        enforce(dq_report(spark, d))
+    except DataCheckError as error:
+        refused = str(error).split("; ")
+    return spark.createDataFrame([(reason,) for reason in refused], "refused string")
+
+
 # --- CSV ------------------------------------------------------------------------
 
 def _as_csv(spark, d, name: str) -> str:

@@ -141,6 +141,7 @@ def test_schema_as_rows_and_ddl(spark):
     df = spark.createDataFrame([(1, "a")], "id int not null, name string")
     assert inspect.schema_rows(df) == [(0, "id", "int", False), (1, "name", "string", True)]
     assert inspect.table_ddl(df, "t") == "CREATE TABLE t (id INT NOT NULL,name STRING)"
+    assert inspect.table_ddl(df, "lake.my trips`2021").startswith("CREATE TABLE lake.`my trips``2021` (id")
 
 
 MODEL = [
