@@ -79,8 +79,22 @@ def files_by_header(
 ) -> dict[tuple[str, ...], list[str] | None]:
     """The files of ``paths`` by their column names, and None for "all of them" under a single header.
 
-    Only where headers differ do file names reach the driver, as they must to be read apart.
+    Executors open the files, each in a task of its own, and read no further than the first record.
+    Most folders have one header, which they only compare. Where headers differ they are listed, and
+    file names reach the driver, as they must to be read apart.
     """
+    own = _a_file_a_task(spark)
+    like = own.read.option("header", True).option("multiLine", True).csv(paths)
+    if not like.columns:
+        return {}
+    own.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")  # all names are compared
+    same = own.read.schema(like.schema).option("header", True).option("multiLine", True)
+    try:
+        # The limit ends each task after one row.
+        same.option("enforceSchema", False).csv(paths).limit(1).agg(F.count(F.lit(1))).collect()
+        return {tuple(name.removeprefix("\ufeff") for name in like.columns): None}
+    except Exception:  # noqa: BLE001  the listing tells, and raises what else may be wrong
+        pass
     found = file_headers(spark, paths)
     headers = found.map(lambda of: (of[1], 1)).reduceByKey(add, 8).keys().collect()
     if len(headers) < 2:
@@ -93,21 +107,26 @@ def files_by_header(
 
 def file_headers(spark: SparkSession, paths: Paths) -> RDD[tuple[str, tuple[str, ...]]]:
     """Path and column names of each file that has a record: its first one, line breaks in quotes
-    included. Executors open the files, each in a task of its own, and read no further than that.
+    included.
 
-    A task that ends before its input does has no form in the DataFrame API.
+    A task that ends before its input does, and keeps what it has, has no form in the DataFrame API.
     """
-    own = spark.newSession()  # its settings are not the caller's
-    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
     # More fields than the one declared: the record comes as it stands.
     records = (
-        own.read.schema("only string, record string").option("columnNameOfCorruptRecord", "record")
+        _a_file_a_task(spark).read.schema("only string, record string").option("columnNameOfCorruptRecord", "record")
         .option("multiLine", True).csv(paths)
         .select(F.col("_metadata.file_path").alias("path"), F.coalesce("record", "only").alias("record"))
     )
     return records.rdd.mapPartitions(_first_record)
 
 
+def _a_file_a_task(spark: SparkSession) -> SparkSession:
+    """A session whose settings are not the caller's, in which files that cannot be split lie alone."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    return own
+
+
 def _first_record(rows: Iterator[Row]) -> Iterator[tuple[str, tuple[str, ...]]]:
     for row in islice(rows, 1):
         yield row.path, tuple(next(csv.reader([row.record.removeprefix("\ufeff")]), []))
