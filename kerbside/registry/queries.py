@@ -529,7 +529,7 @@ def backfill_corrected_month(spark, d):
         rides = feed(spark, d, "fhv")
         own = rides.filter((_file_month() == month) & kept)
         (
-            own.coalesce(1).write.mode("overwrite").option("header", True)
+            own.hint("rebalance").write.mode("overwrite").option("header", True)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .csv(f"{root}/fhv/file_month={month}")
         )

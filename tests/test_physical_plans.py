@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from kerbside.operators.dedup import first_per_key
@@ -38,6 +39,16 @@ PURE = [n for n in QUERIES if n not in {
 } and not n.startswith("csv_")]
 
 
+def test_corrected_months_are_not_written_by_one_task(spark, monkeypatch):
+    """Coalesced to one, the task that writes also reads the whole shuffle of the join before."""
+    plans, write = [], DataFrameWriter.csv
+    monkeypatch.setattr(
+        DataFrameWriter, "csv", lambda w, *a, **k: plans.append(plan(w._df)) or write(w, *a, **k)
+    )
+    QUERIES["backfill_corrected_month"](spark, DATA)
+    assert len(plans) == 3 and not any("Coalesce" in text for text in plans)
+
+
 @pytest.mark.parametrize("name", PURE)
 def test_no_pairwise_joins(spark, name):
     text = plan(QUERIES[name](spark, DATA))
