@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import ascii_lower, saved, text_key
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # One block of windows is broadcast at a time: at most about this many of them, and bytes of text.
 BLOCK_WINDOWS = 20_000
 BLOCK_BYTES = 16 * 1024 * 1024
 
 
 def words_of(text: Column) -> Column:
-    """A-Z lowered; runs of letters, digits and non-ASCII characters. Null has no words."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """A-Z lowered; runs of letters, digits and non-ASCII characters. Null has no words.
+
+    Split at what lies between them, which costs a fourth of extracting each. A gap at either end
+    leaves an empty string there.
+    """
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP), "")
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:

@@ -390,6 +390,16 @@ def brute_contamination(docs, items, size=10):
     return out
 
 
+def test_words_are_split_at_gaps_not_extracted_one_by_one(spark):
+    texts = [None, "", "  ", "..a..", "a", "A1 b\u00e9 \u00c9 \u6f22\u5b57, c_d\x7fe\n", "\U0001f600 x[y] \u212a", "\x00a\x85"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = rows.select("text", decontaminate.words_of(F.col("text")).alias("words"))
+    lowered = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for text, found in words.collect():
+        assert found == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(lowered))
+    assert "regexp_extract_all" not in words._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("blocks", [20_000, 7])
 def test_contamination(spark, documents, texts, odd, monkeypatch, blocks):
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", blocks)
