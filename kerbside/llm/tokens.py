@@ -33,6 +33,14 @@ def lone_marks(text: str) -> bool:
     return _CROWDED(text) is None
 
 
+def evenly_spaced(text: str) -> bool:
+    """Whether words are parted by single spaces and line ends alone, and no character marks cuts."""
+    flat = text.replace("\n", " ")
+    if flat.isprintable():  # no white space but spaces, no control characters
+        return flat != "" and "  " not in flat and flat[0] != " " and flat[-1] != " "
+    return CUT not in text and flat != "" and flat == " ".join(text.split())
+
+
 def _byte_letters() -> dict[int, str]:
     """Printable Latin-1 bytes stand for themselves, the others for the letters from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -120,9 +128,7 @@ class SpacedWords(WordEncoder):
         """The ids of ``lead + text``; ``lead`` is a space or nothing."""
         # White space other than single spaces and line ends between words goes the long way, and
         # so does the control character that marks the cuts here.
-        words, between = text.split(), text.count(" ") + text.count("\n")
-        even = len(words) == between + 1 and sum(map(len, words)) + between == len(text)
-        if not even or CUT in text:
+        if not evenly_spaced(text):
             return self._text(lead + text)
         text = (lead + text).replace(" ", CUT + " ").replace("\n", f"{CUT}\n{CUT}")
         if lone_marks(text):

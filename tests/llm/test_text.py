@@ -21,7 +21,7 @@ from kerbside.llm import decontaminate, gru, langid, lm_score, packing, pii
 from kerbside.llm.decontaminate import contamination, drop_contaminated
 from kerbside.llm.queries import QUERIES, op8_pii
 from kerbside.llm.token_files import decode_ranks, encode_ranks, read_token_files, write_token_files
-from kerbside.llm.tokens import LowerWords, SpacedWords, encoder
+from kerbside.llm.tokens import LowerWords, SpacedWords, encoder, evenly_spaced
 from kerbside.session import scratch_path
 from odd_rows import DATA, LONG, ODD
 
@@ -54,6 +54,13 @@ def test_cached_words_give_the_library_s_ids(kind, path, texts):
         assert np.frombuffer(encode(text), "<u4").tolist() == plain_ids(path, text)
 
 
+@given(st.text(st.sampled_from("ab.\u00e9 \n\t\x01\x1c\x85\xa0\u2028\u3000\u200b"), max_size=8))
+def test_even_spacing_is_told_as_by_splitting(text):
+    words, between = text.split(), text.count(" ") + text.count("\n")
+    even = len(words) == between + 1 and sum(map(len, words)) + between == len(text)
+    assert evenly_spaced(text) == (even and "\x01" not in text)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="aBé .,!'_\n\t1 —s", max_size=30))
 def test_cached_words_of_any_text(text):
