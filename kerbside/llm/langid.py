@@ -217,7 +217,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    given = docs.select(whole_rows(docs).alias("row"), F.col(text).alias("text"))
+    given = docs.select(whole_rows(docs).alias("row"))  # the text goes to Python once, as its field
+    names = docs.columns
+    place = names.index(text) if text in names else [n.lower() for n in names].index(text.lower())
     schema = T.StructType([
         given.schema["row"], T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()),
@@ -227,7 +229,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         for whole in batches:
             for start in range(0, len(whole), 1_000):
                 batch = whole.slice(start, 1_000)
-                langs, score = shared.value.predict(batch.column(1).to_pylist())
+                texts = batch.column(0).field(place)
+                langs, score = shared.value.predict(texts.to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(langs, pa.string()), pa.array(score)],
                     names=schema.names,

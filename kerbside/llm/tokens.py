@@ -103,12 +103,16 @@ class LowerWords(WordEncoder):
             text = text.lower()
         text = text.replace("\n", " ")
         if not lone_marks(text):
-            return b"".join(map(self._word, text.split(" ")))
+            return b"".join([
+                self._words[w] if w.isalpha() else self._word(w) for w in text.split(" ")
+            ])
         words = text.replace(".", " .").replace(",", " ,").split(" ")
         return b"".join(map(self._words.__getitem__, words))
 
     def _word(self, word: str) -> bytes:
         plain = word.lower() if word.isascii() else self._normalizer.normalize_str(word)
+        if plain.isalpha():  # one piece, which need not be looked for nor kept twice
+            return self._piece(plain)
         return b"".join(map(self._pieces.__getitem__, self._find(plain)))
 
 

@@ -54,6 +54,25 @@ def test_cached_words_give_the_library_s_ids(kind, path, texts):
         assert np.frombuffer(encode(text), "<u4").tolist() == plain_ids(path, text)
 
 
+def test_words_are_kept_once():
+    words = LowerWords(LOWER)
+    ids = words.encode("The cat sat, and (the) cat's 2 hats a.b") + words.encode("Une fée, là")
+    assert np.frombuffer(ids, "<u4").tolist() == [
+        *plain_ids(LOWER, "The cat sat, and (the) cat's 2 hats a.b"), *plain_ids(LOWER, "Une fée, là")
+    ]
+    assert {"and", "fée"} <= words._words.keys()
+    assert not words._pieces.keys() & words._words.keys() & {"and", "sat", "hats", "une", "fée"}
+
+
+def test_texts_go_to_python_once(spark, capsys):
+    rows = spark.createDataFrame([(1, "some words")], "doc_id bigint, Text string")
+    found = langid.identify(rows, langid.LanguageModel({"en": "some other words", "fr": "rien"}))
+    assert [(r.row.Text, r.lang_pred) for r in found.collect()] == [("some words", "en")]
+    found.explain()
+    sent = re.search(r"MapInArrow predict\(([^)]*)\)", capsys.readouterr().out)[1]
+    assert len(sent.split(",")) == 1
+
+
 @given(st.text(st.sampled_from("ab.\u00e9 \n\t\x01\x1c\x85\xa0\u2028\u3000\u200b"), max_size=8))
 def test_even_spacing_is_told_as_by_splitting(text):
     words, between = text.split(), text.count(" ") + text.count("\n")
