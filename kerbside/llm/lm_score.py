@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,24 @@ LEAST_UPDATES = 250
 COUNTED_WORDS = 500_000  # words a task counts before it hands them on
 SCORED_TOKENS = 2_000_000  # tokens scored side by side
 PARAM_BLOCK = 65_536
+# Memory a process keeps for its next arrays rather than hand it back, and what is not kept at all.
+KEPT_BYTES, LARGE_BYTES = 64 << 20, 16 << 20
+
+
+@cache
+def keep_freed_memory() -> bool:
+    """Whether the C library agreed to keep what is freed, up to ``KEPT_BYTES``.
+
+    The network's arrays of some 100 kB to 2 MB come and go thousands of times a task; handed back
+    each time, their pages cost more than the arithmetic. The GNU library takes this; others go on
+    as they are.
+    """
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (AttributeError, OSError, TypeError):
+        return False
+    trim, mmap = -1, -3  # the numbers of M_TRIM_THRESHOLD and M_MMAP_THRESHOLD
+    return bool(mallopt(trim, KEPT_BYTES) and mallopt(mmap, LARGE_BYTES))
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -37,6 +56,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``(word binary, n)`` over all ``docs``; each task sums before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
@@ -187,6 +207,7 @@ def _round(docs: DataFrame, model: dict, number: int) -> gru.Params:
     shapes = {k: v.shape for k, v in model["params"].items()}
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
         vocabulary, start = shared.value
         texts = [
             vocabulary.look_up(tokens_of(t.as_py()))[0] for batch in batches for t in batch.column(0)
@@ -252,6 +273,7 @@ def score_documents(docs: DataFrame, model: dict) -> DataFrame:
     end_known = int(model["ends"] > 0)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
         vocabulary, params = shared.value
         held, size = [], 0
         for batch in batches:

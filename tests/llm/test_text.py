@@ -240,6 +240,28 @@ def test_gradients():
         assert math.isclose((above - below) / (2 * step), grad[at], rel_tol=1e-3, abs_tol=1e-4)
 
 
+def test_training_keeps_its_pages():
+    import resource
+
+    assert lm_score.keep_freed_memory()
+    random = np.random.default_rng(1)
+    p = gru.initial(np.ones(128), np.ones((128, 64)))
+    docs = [random.integers(0, 128 * 64, 4096 * 20).astype(np.int32)]
+    gru.train(p, docs, 1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    gru.train(p, docs, 1)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 20 * 200  # pages an update
+
+
+def test_sums_by_symbol():
+    random = np.random.default_rng(2)
+    symbols, parts = random.integers(0, 9, 50), random.normal(size=(3, 50, 4)).astype(np.float32)
+    names, sums = gru._sums_by(symbols, parts)
+    assert names.tolist() == np.unique(symbols).tolist()
+    for name, total in zip(names, sums):
+        assert np.allclose(total, parts[:, symbols == name].sum(axis=1).reshape(-1), atol=1e-5)
+
+
 def test_state_goes_on_across_windows(monkeypatch):
     random = np.random.default_rng(4)
     p = gru.initial(np.ones(6), np.ones((6, 5)))
