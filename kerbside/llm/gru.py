@@ -138,17 +138,14 @@ def score(p: Params, docs: list[np.ndarray], lanes: int = 4096) -> np.ndarray:
     for at in range(0, len(order), lanes):
         own = order[at:at + lanes]
         sizes = np.array([len(docs[k]) for k in own])
+        begins = np.cumsum(sizes) - sizes
+        stream = np.concatenate([docs[k] for k in own])
         h = np.zeros((len(own), HIDDEN), np.float32)
         states, seen, lane_of, held = [], [], [], 0
         for start in range(0, int(sizes[0]), SCORE_STEPS):
-            live = int(np.searchsorted(-sizes, -start, side="left"))
-            grid = np.zeros((live, SCORE_STEPS), np.int32)
-            for lane in range(live):
-                part = docs[own[lane]][start:start + SCORE_STEPS]
-                grid[lane, :len(part)] = part
-            for step in range(min(SCORE_STEPS, int(sizes[0]) - start)):
-                n = int(np.searchsorted(-sizes[:live], -(start + step), side="left"))
-                symbols = grid[:n, step]
+            for at_step in range(start, min(start + SCORE_STEPS, int(sizes[0]))):
+                n = int(np.searchsorted(-sizes, -at_step, side="left"))
+                symbols = stream.take(begins[:n] + at_step)
                 states.append(h[:n])
                 seen.append(symbols)
                 lane_of.append(own[:n])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache, cached_property
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ SUFFIX = 2  # words are classed by so many last characters
 # Each training document is in one round, whole: the rounds together pass over all of them once.
 ROUNDS = 2
 LEAST_UPDATES = 250
-COUNTED_WORDS = 500_000  # words a task counts before it hands them on
-SCORED_TOKENS = 2_000_000  # tokens scored side by side
+COUNTED_BYTES = 32 << 20  # of texts whose words are counted before they are handed on
+TEXT_BYTES = 12 << 20  # of texts that are looked up, and scored, side by side
 PARAM_BLOCK = 65_536
 # Memory a process keeps for its next arrays rather than hand it back, and what is not kept at all.
 KEPT_BYTES, LARGE_BYTES = 64 << 20, 16 << 20
@@ -47,43 +48,68 @@ def keep_freed_memory() -> bool:
     return bool(mallopt(trim, KEPT_BYTES) and mallopt(mmap, LARGE_BYTES))
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """A-Z lowered, runs without ASCII white space; the end token is not among them."""
-    return (text or "").encode().lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words on end, and how many each text has: A-Z lowered, runs without ASCII white space.
+
+    A null text has none; the end token is not among them.
+    """
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    split = pc.ascii_split_whitespace(plain)
+    words, sizes = split.flatten(), np.array(pc.list_value_length(split), np.int64)
+    blank = np.asarray(pc.binary_length(plain)) == 0
+    if blank.any():  # split to one word of no characters
+        words, sizes[blank] = words.filter(pc.not_equal(words, "")), 0
+    return words, sizes
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """All rows in order, in blocks of at most ``size`` bytes of ``text``, or of one longer text.
+
+    An end token counts as a byte, so that empty texts do not come without bound.
+    """
+    held, room = [], size
+    for batch in batches:
+        lengths = np.asarray(pc.binary_length(batch.column("text")).fill_null(0), np.int64) + 1
+        ends, first = np.cumsum(lengths), 0
+        while first < len(batch):
+            before = int(ends[first] - lengths[first])
+            last = int(np.searchsorted(ends, before + room, side="right"))
+            if last == first and not held:
+                last += 1
+            if last > first:
+                held.append(batch.slice(first, last - first))
+                room -= int(ends[last - 1]) - before
+            if last < len(batch):
+                yield pa.concat_batches(held)
+                held, room = [], size
+            first = last
+    if held:
+        yield pa.concat_batches(held)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word binary, n)`` over all ``docs``; each task sums before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_freed_memory()
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokens_of(text.as_py()))
-                if len(seen) > COUNTED_WORDS:
-                    yield _counted(seen)
-                    seen = Counter()
-        if seen:
-            yield _counted(seen)
+        for block in text_blocks(batches, COUNTED_BYTES):
+            seen = words_of(block.column("text"))[0].value_counts()
+            yield pa.RecordBatch.from_arrays(
+                [seen.field("values").cast(pa.binary()), seen.field("counts")], names=["word", "n"]
+            )
 
     return docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")
     )
 
 
-def _counted(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-        names=["word", "n"],
-    )
-
+class Found(NamedTuple):
+    """Tokens of texts on end, each text's words and its end token."""
 
-class _Places(dict):
-    """Places of words; -1, the last, for others, which are not remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
+    starts: np.ndarray  # of each text's tokens
+    places: np.ndarray  # of each token: a head word's, or that of the end or of any other word
+    symbols: np.ndarray
+    others: np.ndarray  # the tokens that are other words
+    words: pa.DictionaryArray  # and those words
 
 
 class Vocabulary:
@@ -118,36 +144,68 @@ class Vocabulary:
         # What each head word adds to the two scores, besides the network's part.
         logs = np.log10(counts + 0.5)
         slotless = symbols % SLOTS == SLOTS - 1
-        # The last entries are those of a word that is not in the head.
+        # The last two entries are those of the end token and of a word that is not in the head.
         self.words = words
-        self.symbol_of = np.append(symbols, -1).astype(np.int32)
-        self.base_of = np.append(logs - math.log10(counted), 0.0)
+        self.symbol_of = np.append(symbols, [0, -1]).astype(np.int32)
+        self.base_of = np.append(logs - math.log10(counted), [0.0, 0.0])
         self.extra_of = np.append(
-            np.where(slotless, logs - self.rest_log[symbols // SLOTS], 0.0), 0.0
+            np.where(slotless, logs - self.rest_log[symbols // SLOTS], 0.0), [0.0, 0.0]
         )
 
     @cached_property
-    def places(self) -> _Places:
-        """Made where it is used, once for each broadcast: a list travels in less space."""
-        return _Places(zip(self.words, range(len(self.words))))
+    def known(self) -> tuple[pa.Array, pa.Array]:
+        """Words and suffixes; made where they are used, once for each broadcast."""
+        words = pa.array(self.words, pa.binary()).cast(pa.string())
+        return words, pa.array(list(self.class_of_suffix), pa.string())
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "places"}
+        return {k: v for k, v in self.__dict__.items() if k != "known"}
 
     def class_of(self, word: bytes) -> int:
         return self.class_of_suffix.get(word.decode()[-SUFFIX:], 1)
 
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, float, float, list[bytes]]:
-        """Symbols with the end token, what the words add to either score besides the network's
-        part, and the words not in the head."""
-        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        symbols = np.append(self.symbol_of[places], np.int32(0))
-        rare = np.flatnonzero(places < 0)
-        unknown = [words[k] for k in rare.tolist()]
-        classes = np.fromiter(map(self.class_of, unknown), np.int64, len(unknown))
-        symbols[rare] = classes * SLOTS + SLOTS - 1
-        extra = self.extra_of[places].sum() - self.rest_log[classes].sum()
-        return symbols, self.base_of[places].sum(), extra, unknown
+    def classes_of(self, words: pa.Array) -> np.ndarray:
+        suffixes = pc.utf8_slice_codeunits(words, -SUFFIX, None)
+        found = pc.index_in(suffixes, value_set=self.known[1].cast(words.type))
+        return np.asarray(found.fill_null(-1), np.int64) + 2
+
+    def look_up(self, texts: pa.Array) -> Found:
+        words, sizes = words_of(texts)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        is_word = np.ones(len(words) + len(texts), bool)
+        is_word[starts + sizes] = False
+        found = pc.index_in(words, value_set=self.known[0].cast(words.type))
+        places = np.full(len(is_word), len(self.words), np.int32)
+        places[is_word] = np.asarray(found.fill_null(len(self.words) + 1))
+        symbols = self.symbol_of[places]
+        others = np.flatnonzero(places == len(self.words) + 1)
+        encoded = words.filter(found.is_null()).dictionary_encode()
+        classes = self.classes_of(encoded.dictionary)
+        symbols[others] = (classes * SLOTS + SLOTS - 1)[np.asarray(encoded.indices)]
+        return Found(starts, places, symbols, others, encoded)
+
+    def sums(self, found: Found) -> tuple[np.ndarray, np.ndarray]:
+        """What each text's words add to the two scores besides the network's part."""
+        extra = self.extra_of[found.places]
+        extra[found.others] = -self.rest_log[found.symbols[found.others] // SLOTS]
+        return (
+            np.add.reduceat(self.base_of[found.places], found.starts),
+            np.add.reduceat(extra, found.starts),
+        )
+
+
+def other_words(found: Found) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
+    """For each text its distinct words that are not in the head, how often, and how many in all."""
+    n, distinct = len(found.starts), len(found.words.dictionary)
+    text = np.searchsorted(found.starts, found.others, side="right") - 1
+    pairs, times = np.unique(text * distinct + np.asarray(found.words.indices), return_counts=True)
+    offsets = pa.array(np.searchsorted(pairs, np.arange(n + 1) * distinct), pa.int32())
+    words = found.words.dictionary.cast(pa.binary()).take(pa.array(pairs % max(distinct, 1)))
+    return (
+        pa.ListArray.from_arrays(offsets, words),
+        pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+        np.bincount(text, minlength=n),
+    )
 
 
 def head_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
@@ -209,9 +267,10 @@ def _round(docs: DataFrame, model: dict, number: int) -> gru.Params:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_freed_memory()
         vocabulary, start = shared.value
-        texts = [
-            vocabulary.look_up(tokens_of(t.as_py()))[0] for batch in batches for t in batch.column(0)
-        ]
+        texts = []
+        for block in text_blocks(batches, TEXT_BYTES):
+            found = vocabulary.look_up(block.column("text"))
+            texts += np.split(found.symbols, found.starts[1:])
         if texts:
             flat = _flat(gru.train(start, texts, LEAST_UPDATES))
             weight = float(sum(map(len, texts)))
@@ -275,34 +334,17 @@ def score_documents(docs: DataFrame, model: dict) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_freed_memory()
         vocabulary, params = shared.value
-        held, size = [], 0
-        for batch in batches:
-            for k in range(len(batch)):
-                words = tokens_of(batch.column(1)[k].as_py())
-                symbols, base, extra, rare = vocabulary.look_up(words)
-                known = len(words) - len(rare)
-                held.append((batch.column(0)[k].as_py(), symbols, base, extra, known, Counter(rare)))
-                size += len(words) + 1
-                if size > SCORED_TOKENS:
-                    yield rows(held, params)
-                    held, size = [], 0
-        if held:
-            yield rows(held, params)
-
-    def rows(held: list[tuple], params: gru.Params) -> pa.RecordBatch:
-        ids, symbols, base, extra, known, rare = zip(*held)
-        network = gru.score(params, list(symbols)) / math.log(10)
-        sizes = np.array(list(map(len, symbols)))
-        n_rare = np.array([sum(r.values()) for r in rare])
-        offsets = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
-        words = pa.array([w for r in rare for w in r], pa.binary())
-        times = pa.array([n for r in rare for n in r.values()], pa.int64())
-        return pa.RecordBatch.from_arrays([
-            pa.array(ids, id_type), pa.array(sizes), pa.array(np.array(known) + end_known),
-            pa.array(np.array(base) + end_base - n_rare * log_counted),
-            pa.array(network + np.array(extra)),
-            pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, times),
-        ], names=["doc_id", "n_tokens", "n_known", "base", "score", "words", "times"])
+        for block in text_blocks(batches, TEXT_BYTES):
+            found = vocabulary.look_up(block.column("text"))
+            base, extra = vocabulary.sums(found)
+            words, times, n_rare = other_words(found)
+            sizes = np.diff(np.append(found.starts, len(found.symbols)))
+            network = gru.score(params, np.split(found.symbols, found.starts[1:])) / math.log(10)
+            yield pa.RecordBatch.from_arrays([
+                block.column("doc_id"), pa.array(sizes), pa.array(sizes - 1 - n_rare + end_known),
+                pa.array(base + end_base - n_rare * log_counted), pa.array(network + extra),
+                words, times,
+            ], names=["doc_id", "n_tokens", "n_known", "base", "score", "words", "times"])
 
     id_type = pa.int64() if docs.schema["doc_id"].dataType.typeName() == "long" else pa.string()
     ids = F.col("doc_id") if id_type == pa.int64() else F.col("doc_id").cast("string").alias("doc_id")

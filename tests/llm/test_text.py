@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -308,6 +310,56 @@ def test_lm_scores(spark, documents, odd, monkeypatch):
     assert lm_score.score_documents(odd.limit(0), model).count() == 0
 
 
+def plain_symbols(vocabulary, text):
+    slots, place = lm_score.SLOTS, {w: k for k, w in enumerate(vocabulary.words)}
+    out, base, extra, rare = [], 0.0, 0.0, Counter()
+    for w in (text or "").encode().lower().split():
+        k, c = place.get(w), vocabulary.class_of(w)
+        out.append(c * slots + slots - 1 if k is None else int(vocabulary.symbol_of[k]))
+        base += 0.0 if k is None else vocabulary.base_of[k]
+        extra += -vocabulary.rest_log[c] if k is None else vocabulary.extra_of[k]
+        rare.update([w] if k is None else [])
+    return [*out, 0], base, extra, rare
+
+
+def test_words_are_looked_up_without_a_call_each():
+    random = np.random.default_rng(5)
+    marks = [*" \t\n\r\x0b\x0c", *"\x1c\x85\xa0\u3000\u0130\u00c9\u212a\x00AaZz", "\U0001F600", "the ", "of "]
+    texts = ["".join(random.choice(marks, k)) for k in random.integers(0, 12, 400)]
+    texts = [None, "", "  ", *texts, "one", None, " ", *(f"word{k} the of" for k in range(3000)), ""]
+    counts = Counter(w for t in texts[:300] for w in (t or "").encode().lower().split()).most_common(40)
+    vocabulary = lm_score.Vocabulary(
+        [w for w, _ in counts], np.array([n for _, n in counts]), {"he": 70.0, "of": 60.0, "a": 50.0}, 90.0, 400, 900.0
+    )
+    calls = Counter()
+    vocabulary.known
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        found = vocabulary.look_up(pa.array(texts))
+        sums, others = vocabulary.sums(found), lm_score.other_words(found)
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 1000
+    symbols = np.split(found.symbols, found.starts[1:])
+    for k, text in enumerate(texts):
+        want, base, extra, rare = plain_symbols(vocabulary, text)
+        assert symbols[k].tolist() == want and others[2][k] == rare.total()
+        assert math.isclose(sums[0][k], base, abs_tol=1e-9) and math.isclose(sums[1][k], extra, abs_tol=1e-9)
+        assert dict(zip(others[0][k].as_py(), others[1][k].as_py())) == rare
+    nothing = lm_score.Vocabulary([], np.zeros(0), {}, 0.0, 0, 0.5)
+    assert nothing.look_up(pa.array([None, "a b"])).symbols.tolist() == [0, 127, 127, 0]
+
+
+def test_text_blocks_keep_every_row():
+    texts = [None, "", "a" * 50, "bb", "c" * 9, "d" * 9, None, *["e"] * 40, "f" * 200]
+    for rows in (1, 3, 60):
+        batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[k:k + rows], pa.string())}) for k in range(0, len(texts), rows)]
+        blocks = [b.column("text").to_pylist() for b in lm_score.text_blocks(iter([*batches, batches[0].slice(0, 0)]), 20)]
+        assert [t for b in blocks for t in b] == texts
+        assert all(len(b) == 1 or sum(len(t or "") + 1 for t in b) <= 20 for b in blocks)
+        assert max(map(len, blocks)) == 10
+
+
 def test_every_training_document_reaches_the_network(spark):
     for text in ("one two three", "a rose is a rose", "four five", "x y z x y z", "last of them"):
         model = lm_score.fit(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
